@@ -75,6 +75,9 @@ def compare(spark_pdf, duck_pdf, tol=1e-9):
 
 
 def main():
+    import faulthandler
+    if os.environ.get("ORACLE_TRACE"):
+        faulthandler.dump_traceback_later(int(os.environ["ORACLE_TRACE"]), exit=True)
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:]
     import __spark_entry__ as E
