@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -133,13 +134,11 @@ class FeatureModel:
 
     def _quantile_scale(self, d: DataFrame) -> DataFrame:
         import numpy as np
-        import pandas as pd
         from pyspark.sql.functions import pandas_udf
         from statistics import NormalDist
 
         refs = np.linspace(0, 1, 1000)
         table = {r["feature"]: np.asarray(r["quantiles"], dtype=float) for r in self.stats.collect()}
-        inv = np.frompyfunc(NormalDist().inv_cdf, 1, 1)
         clip_lo, clip_hi = 1e-7, 1 - 1e-7
         out = d
         def make(q):
@@ -149,7 +148,7 @@ class FeatureModel:
                 fwd = np.interp(v, q, refs)
                 bwd = -np.interp(-v, -q[::-1], -refs[::-1])
                 u = np.clip(0.5 * (fwd + bwd), clip_lo, clip_hi)
-                res = inv(u).astype(float)
+                res = np.frompyfunc(NormalDist().inv_cdf, 1, 1)(u).astype(float)
                 res[np.isnan(v)] = np.nan
                 return pd.Series(res)
             return qmap
