@@ -84,19 +84,24 @@ def check_audit(registry, columns: list[str]) -> list[str]:
 
 
 def column_profile(df: DataFrame, approx: bool = False) -> DataFrame:
-    """Dtype, nulls, null %, distinct non-null, one example; one pass + unpivot."""
-    n = F.count(F.lit(1))
-    aggs = [n.alias("_n")]
-    for c in df.columns:
-        aggs += [F.sum(F.col(c).isNull().cast("int")).alias(f"{c}__nulls"),
-                 (F.approx_count_distinct(c) if approx else F.count_distinct(c)).alias(f"{c}__distinct"),
-                 F.min(F.col(c).cast("string")).alias(f"{c}__example")]
-    wide = df.agg(*aggs)
-    rows = [F.struct(F.lit(c).alias("column"), F.lit(t).alias("dtype"), F.col(f"{c}__nulls").cast("bigint").alias("nulls"),
-                     (F.col(f"{c}__nulls") / F.col("_n") * 100).alias("null_pct"),
-                     F.col(f"{c}__distinct").cast("bigint").alias("distinct"), F.col(f"{c}__example").alias("example"))
-            for c, t in df.dtypes]
-    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    """Dtype, nulls, null %, distinct non-null, one example per column.
+
+    Long form (column, value) with a partial count per value before the shuffle,
+    so low-cardinality columns collapse map-side; no per-column distinct Expand.
+    """
+    dtypes = dict(df.dtypes)
+    cols = list(df.columns)
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
+                                         for c in cols])).alias("kv")).select("kv.*")
+    counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    prof = counts.groupBy("column").agg(
+        F.sum("n").alias("_rows"),
+        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).cast("bigint").alias("nulls"),
+        F.count("value").cast("bigint").alias("distinct"),
+        F.min("value").alias("example"))
+    types = df.sparkSession.createDataFrame([(c, dtypes[c]) for c in cols], "column string, dtype string")
+    return prof.join(F.broadcast(types), "column").select(
+        "column", "dtype", "nulls", (F.col("nulls") / F.col("_rows") * 100).alias("null_pct"), "distinct", "example")
 
 
 def duplicate_count(df: DataFrame, subset: list[str] | None = None) -> Column:
