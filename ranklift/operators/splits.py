@@ -57,7 +57,8 @@ def group_kfold(groups: DataFrame, grp: str, k: int = 5, seed: int = 42, size_co
 def make_splits(df: DataFrame, grp: str = "query_id", target: str = "bought", test_frac: float = 0.2,
                 valid_frac: float = 0.2, k: int = 5, seed: int = 42) -> DataFrame:
     """One assignment row per group: role (test/train/valid) and fold (dev only, else -1)."""
-    groups = group_table(df, grp, target)
+    # one row per group, read by three dense-index passes: keep it (recomputable if lost)
+    groups = group_table(df, grp, target).persist()
     outer = group_split(groups, grp, test_frac, seed, role_in="test", role_out="dev", out="outer")
     dev = outer.where(F.col("outer") == "dev")
     inner = group_split(dev, grp, valid_frac, seed + 1, role_in="valid", role_out="train", out="role")

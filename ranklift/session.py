@@ -18,6 +18,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # local mode: the driver JVM is the only executor
+            builder = builder.config("spark.driver.memory", os.environ.get("RANKLIFT_DRIVER_MEMORY", "16g"))
     builder = (
         builder
         .config("spark.sql.adaptive.enabled", "true")
