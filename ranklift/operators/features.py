@@ -102,7 +102,7 @@ class FeatureEstimator:
         from pyspark.ml.feature import OneHotEncoder
         cats = cfg.categorical_cols()
         ohe = OneHotEncoder(inputCols=[f"{c}_code" for c in cats], outputCols=[f"{c}_oh" for c in cats],
-                            dropLast=False, handleInvalid="keep").fit(model.encode(d))
+                            dropLast=False, handleInvalid="error").fit(model.encode(d))
         object.__setattr__(model, "onehot_model", ohe)
         return model
 
