@@ -35,4 +35,4 @@ def load_all() -> None:
         importlib.import_module(f"ranklift.plans.{mod}")
 
 
-MODULES = ["q_eda", "q_metrics", "q_splits", "q_features", "q_audit", "q_runs", "q_text", "q_models"]
+MODULES = ["q_eda", "q_metrics", "q_splits", "q_features", "q_audit", "q_runs", "q_text", "q_models", "q_derive"]
