@@ -30,6 +30,7 @@ DROPPED = {
     "timestamp": "no measurable effect; cyclic features available behind use_temporal",
 }
 BROADCAST_MAX_ROWS = 1_000_000
+MAP_MAX_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -116,9 +117,23 @@ class FeatureModel:
 
     # D4 / J2 ----------------------------------------------------------------
     def encode(self, d: DataFrame) -> DataFrame:
-        """Code per categorical column; unseen (and null) -> 0."""
-        vocab = maybe_broadcast(self.vocab)
+        """Code per categorical column; unseen (and null) -> 0.
+
+        A vocabulary under ``MAP_MAX_ROWS`` entries (checked by a count) becomes a
+        literal map per column, so encoding is a projection inside codegen; a
+        larger one is joined like any dimension table.
+        """
+        n = self.vocab.count()
         out = d
+        if n <= MAP_MAX_ROWS:
+            per = {}
+            for r in self.vocab.collect():
+                per.setdefault(r["feature"], []).extend([F.lit(r["value"]), F.lit(int(r["code"]))])
+            return out.withColumns({
+                f"{c}_code": F.coalesce(F.element_at(F.create_map(*per[c]), F.col(c).cast("string"))
+                                        if c in per else F.lit(None), F.lit(UNK_CODE)).cast("int")
+                for c in self.cfg.categorical_cols()})
+        vocab = maybe_broadcast(self.vocab)
         for c in self.cfg.categorical_cols():
             v = vocab.where(F.col("feature") == c).select(F.col("value").alias(f"_v_{c}"), F.col("code").alias(f"{c}_code"))
             out = (out.join(v, out[c].cast("string") == v[f"_v_{c}"], "left").drop(f"_v_{c}")
