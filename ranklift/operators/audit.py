@@ -91,6 +91,16 @@ def column_profile(df: DataFrame, approx: bool = False) -> DataFrame:
     """
     dtypes = dict(df.dtypes)
     cols = list(df.columns)
+    if approx:  # one pass, HyperLogLog sketches, no shuffle of the values
+        n = F.count(F.lit(1))
+        wide = df.agg(n.alias("_rows"), *[F.sum(F.col(c).isNull().cast("long")).alias(f"{c}__nulls") for c in cols],
+                      *[F.approx_count_distinct(c).alias(f"{c}__distinct") for c in cols],
+                      *[F.min(F.col(c).cast("string")).alias(f"{c}__example") for c in cols])
+        rows = [F.struct(F.lit(c).alias("column"), F.lit(dtypes[c]).alias("dtype"),
+                         F.col(f"{c}__nulls").alias("nulls"), (F.col(f"{c}__nulls") / F.col("_rows") * 100).alias("null_pct"),
+                         F.col(f"{c}__distinct").cast("bigint").alias("distinct"), F.col(f"{c}__example").alias("example"))
+                for c in cols]
+        return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
                                          for c in cols])).alias("kv")).select("kv.*")
     counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))

@@ -72,8 +72,10 @@ def categorical_summary(df: DataFrame, cols: list[str]) -> DataFrame:
         F.count(F.lit(1)).alias("cardinality"),
         F.sum("n").alias("non_null"),
         F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode"),
-        F.max("n").alias("mode_n"),
-        F.median("n").alias("median_rows"))
+        F.max("n").alias("mode_n"))
+    # median of rows-per-level from X1 counts (no single-task buffer of all levels)
+    med = quantiles_by(nn, ["feature"], "n", [0.5]).select("feature", F.col("value").alias("median_rows"))
+    per_col = per_col.join(med, "feature")
     nulls = counts.groupBy("feature").agg(
         F.sum("n").alias("rows"), F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("nulls"))
     return per_col.join(nulls, "feature").select(

@@ -174,7 +174,7 @@ def batch_assign(ordered: DataFrame, size: int, drop_last: bool = False, pos: st
 
 
 # E11 -------------------------------------------------------------------------
-def pack_groups(df: DataFrame, grp: str, batch_rows: int, shards: int = 64, seed: int = 42) -> DataFrame:
+def pack_groups(df: DataFrame, grp: str, batch_rows: int, shards: int | None = None, seed: int = 42) -> DataFrame:
     """Training-export layout: batches that never split a group.
 
     Groups are hashed to shards; inside each shard (one pandas batch of group
@@ -183,6 +183,8 @@ def pack_groups(df: DataFrame, grp: str, batch_rows: int, shards: int = 64, seed
     """
     import pandas as pd
 
+    from ranklift.session import shuffle_partitions
+    shards = shards or 4 * shuffle_partitions(df.sparkSession)  # group-size rows per shard stay small
     sizes = (df.groupBy(grp).agg(F.count(F.lit(1)).alias("rows"))
              .withColumns({"_h": hash_bigint(grp, seed)})
              .withColumn("shard", (F.col("_h") % shards).cast("int")))
