@@ -160,3 +160,13 @@ def clustered_bootstrap(pred: DataFrame, n_boot: int = 200, seed: int = 7) -> Da
 def normal_quantile(p: float) -> float:
     from statistics import NormalDist
     return NormalDist().inv_cdf(p) if 0 < p < 1 else math.copysign(math.inf, p - 0.5)
+
+
+# V6 --------------------------------------------------------------------------
+def check_expected(summary: DataFrame, expected: DataFrame, by: str = "run_name") -> DataFrame:
+    """(run, metric, expected, tol) -> measured delta and ok flag."""
+    long = summary.select(by, *[F.col(f"{m}_mean").alias(m) for m in METRICS]).unpivot(
+        [by], METRICS, "metric", "measured")
+    j = expected.join(long, [by, "metric"])
+    delta = F.abs(F.col("measured") - F.col("expected"))
+    return j.select(by, "metric", "expected", delta.alias("delta"), (delta <= F.col("tol")).alias("ok"))

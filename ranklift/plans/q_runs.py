@@ -113,3 +113,39 @@ SELECT metric, {R('avg(value)')} AS mean, count(*) AS replicates, {R('quantile_c
 def q_bootstrap(spark, sf_dir):
     b = RU.clustered_bootstrap(PRED_FIXTURES["ev"](spark, sf_dir), BOOT, 7)
     return b.withColumns({c: rnd(c) for c in ("mean", "ci_low", "ci_high")})
+
+
+@register("format_summary", with_sql(SUMMARY_SQL + "\nSELECT run_name, runs, " + ", ".join(
+    f"printf('%.4f +- %.4f', {m}_mean, {m}_sd) AS {m}" for m in RU.METRICS)
+    + ", printf('%.2fx', pr_auc_mean / prevalence) AS lift FROM s", TWO_FOLDS + RUNLOG_CTE))
+def q_format_summary(spark, sf_dir):
+    """V4: 'mean +- sd' text at 4 decimals and the lift."""
+    return RU.format_summary(RU.summarize(run_log(spark, sf_dir)))
+
+
+EXPECTED = [("discount", "pr_auc", 0.33, 0.02), ("discount", "roc_auc", 0.5, 0.02),
+            ("tax", "pr_auc", 0.33, 0.02), ("tax", "roc_auc", 0.5, 0.02)]
+
+
+@register("check_expected", with_sql(SUMMARY_SQL + """
+, e(run_name, metric, expected, tol) AS (VALUES """ + ", ".join(f"('{a}', '{b}', {c}, {d})" for a, b, c, d in EXPECTED) + f""")
+, l AS (SELECT run_name, 'pr_auc' AS metric, pr_auc_mean AS measured FROM s
+        UNION ALL SELECT run_name, 'roc_auc', roc_auc_mean FROM s)
+SELECT e.run_name, e.metric, CAST(e.expected AS DOUBLE) AS expected, {R('abs(measured - e.expected)')} AS delta,
+       abs(measured - e.expected) <= e.tol AS ok
+FROM e JOIN l ON e.run_name = l.run_name AND e.metric = l.metric""", TWO_FOLDS + RUNLOG_CTE))
+def q_check_expected(spark, sf_dir):
+    """V6: measured summary against (run, metric, expected, tolerance)."""
+    s = RU.summarize(run_log(spark, sf_dir))
+    exp = spark.createDataFrame(EXPECTED, "run_name string, metric string, expected double, tol double")
+    return RU.check_expected(s, exp).withColumn("delta", rnd("delta"))
+
+
+@register("one_row_per_config", with_sql(f"""
+SELECT model AS config, fold, {R('pr_auc')} AS pr_auc FROM (
+  SELECT *, row_number() OVER (PARTITION BY model ORDER BY model, fold) AS rn FROM runlog) WHERE rn = 1""",
+    TWO_FOLDS + RUNLOG_CTE))
+def q_one_row_per_config(spark, sf_dir):
+    """The first row of each config under an explicit order."""
+    r = RU.one_row_per_config(run_log(spark, sf_dir), "config", ["run_name", "seed", "fold"])
+    return r.select("config", "fold", rnd("pr_auc").alias("pr_auc"))
