@@ -118,3 +118,26 @@ DERIVED = ["price_pos", "price_per_oz", "dim_length", "dim_width", "dim_height",
 def q_derived_matrix(spark, sf_dir):
     m = A.check_matrix(impressions_derived(spark, sf_dir), DERIVED)
     return m.withColumns({"min": rnd("min"), "max": rnd("max")})
+
+
+# Facts stated for the sf0.01 adapter (FIXTURES.md), checked against the data.
+EXPECTED_FACTS = {"n_columns": 22.0, "prevalence_target": 0.3341, "prevalence_leak": 0.6679,
+                  "p_target_given_leak_false": 0.0, "nulls_pct": 20.1}
+
+
+@register("verify_facts", with_sql(f"""
+, m AS (SELECT 'n_columns' AS fact, {len(IMPRESSION_COLUMNS)}.0 AS value
+        UNION ALL SELECT 'prevalence_target', avg(CAST(bought AS DOUBLE)) FROM impressions
+        UNION ALL SELECT 'prevalence_leak', avg(CAST(cart AS DOUBLE)) FROM impressions
+        UNION ALL SELECT 'p_target_given_leak_false', avg(CASE WHEN NOT cart THEN CAST(bought AS DOUBLE) END) FROM impressions
+        UNION ALL SELECT 'nulls_pct', avg(CAST(allergens IS NULL AS DOUBLE)) * 100 FROM impressions)
+, e(fact, expected) AS (VALUES """ + ", ".join(f"('{k}', {v})" for k, v in EXPECTED_FACTS.items()) + f""")
+SELECT e.fact, CAST(expected AS DOUBLE) AS expected, {R('value')} AS measured, {R('abs(value - expected)')} AS delta,
+       abs(value - expected) <= CASE WHEN e.fact LIKE '%\\_pct' ESCAPE '\\' THEN 5e-3
+                                     WHEN expected = floor(expected) AND expected > 1 THEN 0.0 ELSE 5e-4 END AS ok
+FROM e JOIN m ON e.fact = m.fact""", "impressions"))
+def q_verify_facts(spark, sf_dir):
+    """B5 + B7: measured facts against the stated ones (counts exact, proportions 5e-4, _pct 5e-3)."""
+    facts = A.structural_facts(impressions(spark, sf_dir).select(*IMPRESSION_COLUMNS))
+    v = A.verify_facts(facts, EXPECTED_FACTS)
+    return v.withColumns({"measured": rnd("measured"), "delta": rnd("delta")})
