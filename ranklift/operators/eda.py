@@ -106,15 +106,15 @@ def group_histograms(df: DataFrame, grp: str, target: str = "bought") -> DataFra
 
 # F6 / F7 ---------------------------------------------------------------------
 def group_time_span(df: DataFrame, grp: str, ts: str = "timestamp") -> DataFrame:
-    secs = F.unix_timestamp(F.max(ts).cast("timestamp")) - F.unix_timestamp(F.min(ts).cast("timestamp"))
+    # timestamp_diff on wall-clock values: no session time zone (and no DST) involved
+    secs = F.timestamp_diff("SECOND", F.min(ts), F.max(ts))
     return df.groupBy(grp).agg(F.floor(secs / 86400).cast("bigint").alias("days"))
 
 
 def time_span_summary(df: DataFrame, grp: str, ts: str = "timestamp") -> DataFrame:
     spans = group_time_span(df, grp, ts)
     med = quantiles(spans, "days", [0.5]).select("value").scalar()
-    whole = df.select(F.floor((F.unix_timestamp(F.max(ts).cast("timestamp"))
-                               - F.unix_timestamp(F.min(ts).cast("timestamp"))) / 86400).cast("bigint")).scalar()
+    whole = df.select(F.floor(F.timestamp_diff("SECOND", F.min(ts), F.max(ts)) / 86400).cast("bigint")).scalar()
     s = spans.agg(F.avg("days").alias("mean_days"), F.max("days").alias("max_days"),
                   F.avg((F.col("days") > 365).cast("double")).alias("share_over_year"))
     # a temporal split is rejected when groups themselves span much of the whole range
