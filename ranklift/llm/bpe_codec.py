@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
@@ -177,7 +178,7 @@ class Codec:
 
 def slices(texts: pa.Array, limit: int = SLICE_CHARS) -> Iterator[tuple[int, list[str]]]:
     """Runs of whole texts of about ``limit`` bytes."""
-    size = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     a, total = 0, 0
     for i, n in enumerate(size):
         total += int(n)
