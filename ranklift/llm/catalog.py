@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
-MODULES = ("quality", "topk", "chat", "bpe_codec")
+MODULES = ("quality", "topk", "ngram_join", "chat", "bpe_codec")
 
 
 def register(name: str, sql: str | None = None):

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,3 +33,48 @@ def saved(df: DataFrame) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def slot_sketch(rows: DataFrame, bits: int) -> np.ndarray:
+    """Byte array of 2**bits slots; each holds the largest ``level`` of the keys that fall into it.
+
+    ``rows`` has key (long) and level (int, 0 to 255); a key's slot is its low ``bits``
+    bits.  The size is fixed by ``bits``, whatever the number of keys, so the array may
+    be broadcast.  Several keys may share a slot: a level is an upper bound, and 0 means
+    that no key with a level is there.
+    """
+    low = min(bits, 14)
+    slot = F.col("key").bitwiseAND(F.lit((1 << bits) - 1))
+    top = rows.groupBy(slot.alias("slot")).agg(F.max("level").alias("level"))
+
+    def pack(part):
+        data = np.zeros(1 << low, np.uint8)
+        data[(part["slot"].to_numpy() & ((1 << low) - 1))] = part["level"].to_numpy()
+        return pd.DataFrame({"seg": [int(part["slot"].iloc[0]) >> low], "data": [data.tobytes()]})
+
+    out = np.zeros(1 << bits, np.uint8)
+    packed = top.groupBy(F.shiftright("slot", low).alias("g")).applyInPandas(pack, "seg long, data binary")
+    for r in packed.toLocalIterator():  # 2**(bits - 14) rows of 16 KB at most
+        out[r.seg << low:(r.seg + 1) << low] = np.frombuffer(r.data, np.uint8)
+    return out
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, component) for the undirected edges (a, b); a component is named by its smallest node.
+
+    Smallest label over the neighbours, then pointer jumping; about log2(longest path) rounds,
+    each over the edges and nodes alone, checkpointed.
+    """
+    both = saved(edges.select("a", "b").union(edges.select("b", "a")).distinct())
+    state = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("component"))
+    while True:
+        state = saved(state)
+        near = (both.join(state.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node"))
+                .agg(F.min("component").alias("near")))
+        low = state.join(near, "node").select("node", F.least("component", "near").alias("low"), "component")
+        jump = state.select(F.col("node").alias("low"), F.col("component").alias("far"))
+        after = saved(low.join(jump, "low").select("node", F.least("low", "far").alias("component"),
+                                                   (F.least("low", "far") < F.col("component")).alias("moved")))
+        state = after.select("node", "component")
+        if not after.filter("moved").limit(1).count():
+            return state
