@@ -16,6 +16,8 @@ Candidates are verified on the whole sets.  Rounds of star-shaped candidates (ea
 document with the centre it shares most prefix tokens with) join large groups of near
 copies without forming all pairs; then every pair that shares prefix tokens under all
 orders and is still in two components is verified, so no link between components is lost.
+That last step leaves out the commonest tokens that a pair must share anyway
+(``_across``), so heavily edited copies of one text hardly form pairs.
 
 Defined results: null text and text without words has an empty set and links with
 nothing; fewer than 5 words are one shingle; repeated rows are members of one class and
@@ -103,7 +105,7 @@ def _sets(size: int, wanted):
                 sets = [s for s in shingle_sets(w, size) if len(s)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([_digest(s) for s in sets], pa.binary()),
-                     pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "tokens"])
+                     pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["node", "tokens"])
     return run
 
 
@@ -121,7 +123,7 @@ def _verify(percent: int):
             ta, tb = b.column("ta"), b.column("tb")
             ok = np.zeros(b.num_rows, bool)
             for i in range(b.num_rows):
-                x, y = (np.frombuffer(t[i].as_buffer(), np.uint64) for t in (ta, tb))
+                x, y = (t[i].values.to_numpy() for t in (ta, tb))
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 ok[i] = 100 * both >= percent * (len(x) + len(y) - both)
             yield b.select(["a", "b"]).filter(pa.array(ok))
@@ -147,7 +149,7 @@ def _repeated(rows: DataFrame) -> DataFrame:
 
 
 def links(docs: DataFrame, size: int = 5, percent: int = 80, orders: int = 3, bits: int = 24,
-          star_rounds: int = 3) -> tuple[DataFrame, DataFrame]:
+          star_rounds: int = 2) -> tuple[DataFrame, DataFrame]:
     """(members, component edges): rows (doc_id, node, n), and verified links (a, b) between nodes.
 
     Links found suffice to connect every component of the full link graph.
@@ -182,11 +184,11 @@ def links(docs: DataFrame, size: int = 5, percent: int = 80, orders: int = 3, bi
     group = rows[0].join(live, "node", "left_semi")
 
     wanted = slot_sketch(classes.select("doc_id").mapInArrow(_slot_keys, "key long, level int"), bits)
-    sets = saved(docs.mapInArrow(_sets(size, sc.broadcast(wanted)), "node binary, tokens binary")
+    sets = saved(docs.mapInArrow(_sets(size, sc.broadcast(wanted)), "node binary, tokens array<bigint>")
                  .join(live, "node", "left_semi").dropDuplicates(["node"]))
 
     weight = group.groupBy("node").agg(F.sum("df").alias("weight"))
-    group = saved(group.join(weight, "node").select("tok", "node", "n", "weight"))
+    group = saved(group.join(weight, "node").select("tok", "node", "n", "df", "weight"))
     verified, tried, comp = [], None, None
     for _ in range(star_rounds):
         here = group if comp is None else _open(group, comp)
@@ -200,11 +202,11 @@ def links(docs: DataFrame, size: int = 5, percent: int = 80, orders: int = 3, bi
         comp = components(reduce(DataFrame.union, verified))
     here = _open(group, comp)
     pairs = _across(here, percent).join(tried, ["a", "b"], "left_anti")
-    for p in found[1:]:  # intersect with the filters of the other orders
-        pairs = (pairs.join(classes.select(F.col("node").alias("a"), F.col(p).alias("pa")), "a")
-                 .join(classes.select(F.col("node").alias("b"), F.col(p).alias("pb")), "b")
-                 .filter(F.arrays_overlap("pa", "pb")).select("a", "b"))
-    verified.append(_linked(saved(pairs), sets, percent))
+    for k in ("a", "b"):
+        pairs = pairs.join(classes.select(F.col("node").alias(k), *[F.col(p).alias(p + k) for p in found]), k)
+    for p in found:  # intersect the filters of all orders
+        pairs = pairs.filter(F.size(F.array_intersect(p + "a", p + "b")) >= F.col("least"))
+    verified.append(_linked(saved(pairs.select("a", "b")), sets, percent))
     return members, reduce(DataFrame.union, verified)
 
 
@@ -226,11 +228,21 @@ def _star(group: DataFrame, percent: int, parted: bool) -> DataFrame:
 
 
 def _across(group: DataFrame, percent: int) -> DataFrame:
-    """All comparable pairs (a, b) that share a token and are in two components."""
-    x = group.select("tok", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    y = group.select("tok", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    return x.join(y, "tok").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-                                   & _comparable("na", "nb", percent)).select("a", "b").distinct()
+    """Comparable pairs (a, b, least) in two components that may share enough (``least``) prefix tokens.
+
+    With n_a - p_a tokens behind the prefix that ends first, two sets that overlap in o
+    tokens share at least c = o - max(n - p) tokens of their prefixes.  Each document
+    ranks its tokens by the group's size; a shared token that is the c-th or a later one
+    of those the two share has rank c or more in both, so the c - 1 top ranks are left out.
+    """
+    rank = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("df"), "tok"))
+    behind = F.ceil(F.col("n") * percent / 100) - 1
+    group = saved(group.select("tok", "node", "n", "component", rank.alias("rank"), behind.alias("behind")))
+    x, y = (group.select("tok", *[F.col(c).alias(c + k) for c in group.columns[1:]]) for k in "xy")
+    least = F.ceil((F.col("nx") + F.col("ny")) * percent / (100 + percent)) - F.greatest("behindx", "behindy")
+    return (x.join(y, "tok").filter((F.col("nodex") < F.col("nodey")) & (F.col("componentx") != F.col("componenty"))
+                                    & _comparable("nx", "ny", percent) & (F.least("rankx", "ranky") >= least))
+            .select(F.col("nodex").alias("a"), F.col("nodey").alias("b"), F.greatest(F.lit(1), least).alias("least")).distinct())
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
