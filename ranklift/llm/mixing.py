@@ -19,7 +19,8 @@ block of about ``block_rows`` documents there is one row; a hot source is many b
 
 Defined results: null text has size 0; sources stand in code point order, null last, and
 take the weights in turn; an all-empty table has targets 0; a document with size 0 is in
-no mix; repeated rows are separate documents; further columns pass through ``mix``; an
+no mix; repeated rows are taken together and share
+evenly what they take; further columns pass through ``mix``; an
 empty table gives no rows.
 """
 
@@ -36,9 +37,9 @@ from ranklift.llm.catalog import register
 from ranklift.llm.common import WORD, saved, table
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``size``, the number of words."""
-    return docs.withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
+def word_count():
+    """Number of words in ``text``; null has none."""
+    return F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
 
 
 def targets(sizes: DataFrame, weights: Sequence[float], share: float, most: float) -> DataFrame:
@@ -88,7 +89,7 @@ def draws(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float =
     takes: (sid, block, pass, shard, words): how many words of the block each draw takes.
     """
     spark = docs.sparkSession
-    sizes = saved(sized(docs).select("doc_id", "source", "size"))
+    sizes = saved(docs.select("doc_id", "source", word_count().alias("size")))
     per = saved(targets(sizes, weights, share, most))
     per = per.withColumns({
         "whole": F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"),
@@ -154,15 +155,15 @@ def mix(docs: DataFrame, seed: int = 11, **options) -> DataFrame:
     """
     placed, takes = draws(docs, seed=seed, **options)
     rows = taken_rows(placed, takes).dropDuplicates(["doc_id", "key", "pass"]).select(
-        F.col("doc_id").alias("__id"), F.col("key").alias("__key"), "shard", "pass", F.col("words").alias("__words"),
-        F.col("size").alias("__size"))
-    out = sized(docs).withColumn("__key", F.xxhash64(F.lit(seed), "doc_id", "size")).drop("size")
-    out = out.join(rows, (F.col("doc_id") == F.col("__id")) & (out["__key"] == rows["__key"]))
+        *[F.col(c).alias(f"__{c}") for c in ("doc_id", "key", "shard", "pass", "words", "size")])
+    out = docs.withColumn("__mine", F.xxhash64(F.lit(seed), "doc_id", word_count()))
+    out = out.join(rows, (F.col("doc_id") == F.col("__doc_id")) & (F.col("__mine") == F.col("__key")))
     first = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), F.col("__words").cast("int")), " ")
     out = out.withColumn("text", F.when(F.col("__words") < F.col("__size"), first).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
-    out = out.repartition("shard").sortWithinPartitions("shard", F.xxhash64(F.lit(seed + 4), "shard", "pass", "__id"))
+    out = out.repartition("__shard").sortWithinPartitions(
+        "__shard", F.xxhash64(F.lit(seed + 4), "__shard", "__pass", "__doc_id"))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
