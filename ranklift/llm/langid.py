@@ -87,7 +87,7 @@ def _df(batches):
     """(slot, n): in how many texts of the partition each n-gram occurs."""
     total = np.zeros(1 << BITS, np.int64)
     for b in batches:
-        for _, _, buf, bounds in text_slices(b.column("text")):
+        for _, _, buf, bounds in text_slices(b.column("text"), 1 << 19):
             slots, first, _ = grams(buf, bounds)
             for a, z in zip(first[:-1], first[1:], strict=True):
                 seen = np.zeros(1 << BITS, bool)
@@ -182,7 +182,7 @@ def _score(model):
         names = np.array([*m.languages, UND], object)
         for b in batches:
             ids = b.column("doc_id")
-            for at, rows, buf, bounds in text_slices(b.column("text")):
+            for at, rows, buf, bounds in text_slices(b.column("text"), 1 << 19):
                 slots, first, letters = grams(buf, bounds)
                 total = np.zeros((len(slots) + 1, len(m.languages)))
                 np.cumsum(m.weight[slots], axis=0, dtype=np.float64, out=total[1:])
