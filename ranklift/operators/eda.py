@@ -42,8 +42,8 @@ def numeric_summary(df: DataFrame, cols: list[str]) -> DataFrame:
     moments = long.groupBy("feature").agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"),
-        (g1 * F.sqrt(n * (n - 1)) / (n - 2)).alias("skew"),
-        ((n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6)).alias("kurtosis"))
+        F.try_divide(g1 * F.sqrt(n * (n - 1)), n - 2).alias("skew"),
+        (F.try_divide(n - 1, (n - 2) * (n - 3)) * ((n + 1) * g2 + 6)).alias("kurtosis"))
     medians = quantiles_by(long, ["feature"], "value", [0.5]).select("feature", F.col("value").alias("median"))
     return moments.join(medians, "feature")
 

@@ -155,7 +155,8 @@ def roc_curve(pred: DataFrame) -> DataFrame:
     cum = _curve_base(pred)
     P = pred.select(F.sum(F.col("y").cast("double"))).scalar()
     N = pred.select(F.sum(1 - F.col("y").cast("double"))).scalar()
-    pts = cum.select(F.col("p").alias("threshold"), (F.col("cum_neg") / N).alias("fpr"), (F.col("cum_pos") / P).alias("tpr"))
+    pts = cum.select(F.col("p").alias("threshold"), F.try_divide("cum_neg", N).alias("fpr"),
+                     F.try_divide("cum_pos", P).alias("tpr"))
     start = pred.sparkSession.range(1).select(F.lit(None).cast("double").alias("threshold"),
                                               F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return start.unionByName(pts)
@@ -166,7 +167,7 @@ def pr_curve(pred: DataFrame) -> DataFrame:
     P = pred.select(F.sum(F.col("y").cast("double"))).scalar()
     pts = cum.select(F.col("p").alias("threshold"),
                      (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("precision"),
-                     (F.col("cum_pos") / P).alias("recall"))
+                     F.try_divide("cum_pos", P).alias("recall"))
     end = pred.sparkSession.range(1).select(F.lit(None).cast("double").alias("threshold"),
                                             F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
     return pts.unionByName(end)

@@ -51,7 +51,7 @@ def compare_to_base(summary: DataFrame, base: str, metric: str = "pr_auc", by: s
                                                 F.col("runs").alias("_bn"))
     bm, bs, bn = (b.select(c).scalar() for c in ("_bm", "_bs", "_bn"))
     se = F.sqrt(F.col(f"{metric}_sd") ** 2 / F.col("runs") + bs * bs / bn)
-    z = (F.col(f"{metric}_mean") - bm) / se
+    z = F.try_divide(F.col(f"{metric}_mean") - bm, se)  # null if both spreads are 0
     verdict = F.when(F.abs(z) < 2, "indistinguishable").when(z > 0, "better").otherwise("worse")
     return summary.select(by, (F.col(f"{metric}_mean") - bm).alias("delta"), se.alias("se"), z.alias("z"),
                           F.when(F.col(by) == base, "base").otherwise(verdict).alias("verdict"))
