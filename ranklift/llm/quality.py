@@ -180,9 +180,11 @@ def quality_filter(docs: DataFrame, sample_rows: int = 2000) -> DataFrame:
     All rules, the base ones included, form one cascade over expressions, so the dear
     measures are computed only for the rows that come that far.
     """
-    frame, m = _tokenised(docs)
     rules = plan_cascade(docs, [*base_rules(), *extra_rules()], sample_rows)
-    return frame.filter(cascade(rules, m)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    text = F.col("text")
+    # bound by let: a filter is pushed below a column of words, which would then be split again for every window
+    passed = let(words_of(text), lambda words: cascade(rules, measures(words, worded_lines(text), text)))
+    return docs.filter(passed)
 
 
 SQL = r"""
