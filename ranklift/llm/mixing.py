@@ -36,6 +36,9 @@ from pyspark.sql import functions as F
 from ranklift.llm.catalog import register
 from ranklift.llm.common import WORD, saved, table
 
+#: Random pieces of an output shard; each is shuffled by itself.
+PIECES = 32
+
 
 def word_count():
     """Number of words in ``text``; null has none."""
@@ -150,7 +153,9 @@ def mix_report(docs: DataFrame, **options) -> DataFrame:
 def mix(docs: DataFrame, seed: int = 11, **options) -> DataFrame:
     """The mixed documents, with the columns of ``docs``: a row for each time a document is taken.
 
-    Rows are placed by shard and shuffled inside it.  A document cut at its source's target
+    Rows are placed by shard and shuffled inside it: a hash of the draw gives each row its
+    order and one of ``PIECES`` random pieces of its shard, and each piece is sorted by
+    itself, so that no task holds a whole shard.  A document cut at its source's target
     keeps its first words, joined by spaces; ``n_chars``, if there, follows the text.
     """
     placed, takes = draws(docs, seed=seed, **options)
@@ -162,8 +167,9 @@ def mix(docs: DataFrame, seed: int = 11, **options) -> DataFrame:
     out = out.withColumn("text", F.when(F.col("__words") < F.col("__size"), first).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
-    out = out.repartition("__shard").sortWithinPartitions(
-        "__shard", F.xxhash64(F.lit(seed + 4), "__shard", "__pass", "__doc_id"))
+    out = out.withColumn("__order", F.xxhash64(F.lit(seed + 4), "__shard", "__pass", "__doc_id"))
+    out = out.withColumn("__piece", F.pmod("__order", F.lit(PIECES)))
+    out = out.repartition("__shard", "__piece").sortWithinPartitions("__shard", "__piece", "__order")
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
