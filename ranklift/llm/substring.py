@@ -31,6 +31,8 @@ from ranklift.llm.words import Words, mix, powers, word_slices
 
 LONG = 32
 MIN_WORDS = 25
+#: Digests with more than one row in HOT are joined by broadcast.
+HOT = 1000
 _OTHER = np.uint64(0xD1342543DE82EF95)
 
 
@@ -106,9 +108,13 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, bits: int = 24)
     sketch = slot_sketch(often.select(F.col("h1").alias("key"), F.lit(1).alias("level")), bits)
     sent = docs.sparkSession.sparkContext.broadcast(sketch)
     rows = saved(docs.mapInArrow(_candidates(sent), "doc_id long, unit long, h1 long, h2 long, words long, begin long, end long"))
-    first = (rows.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "unit")).alias("kept"), F.count("*").alias("n"))
-             .filter("n > 1").select("h1", "h2", "kept"))
-    again = (rows.join(first, ["h1", "h2"]).filter((F.col("doc_id") != F.col("kept.doc_id")) | (F.col("unit") != F.col("kept.unit")))
+    first = saved(rows.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "unit")).alias("kept"), F.count("*").alias("n"))
+                  .filter("n > 1"))
+    # at most HOT digests have a share of 1 / HOT of the rows; they are broadcast, the others are joined by digest
+    hot = F.broadcast(first.filter(F.col("n") * HOT > rows.count()).drop("n"))
+    rest = rows.join(hot, ["h1", "h2"], "left_anti").join(first.drop("n"), ["h1", "h2"])
+    again = (rows.join(hot, ["h1", "h2"]).unionByName(rest)
+             .filter((F.col("doc_id") != F.col("kept.doc_id")) | (F.col("unit") != F.col("kept.unit")))
              .select("doc_id", "unit", "words", "begin", "end", F.col("kept.doc_id").alias("kept_doc_id"))
              .dropDuplicates(["doc_id", "unit"]))
     run = F.col("unit") - F.row_number().over(Window.partitionBy("doc_id").orderBy("unit"))
