@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -156,6 +157,53 @@ def test_repeated_spans_against_brute_force(spark):
     assert {(r.doc_id, r.begin, r.end) for r in got.collect()} == want
 
 
+def test_repeated_passages_inside_sentences_against_brute_force(spark):
+    """Passages of 51 to 60 words go from end to end, wherever in a sentence they start and stop."""
+    rnd = random.Random(12)
+    fresh = iter(f"{rnd.choice('abcdefgh')}q{i}é" for i in range(100000))
+    take = lambda n: [next(fresh) for _ in range(n)]
+    split = take(30) + take(24)
+    split[29] += "."
+    split[53] += "."
+    docs, want = [(0, " ".join(split)), (1, " ".join(take(5) + split))], []
+    want.append((1, docs[1][1].index(split[0]), len(docs[1][1]), 54, 0))
+    for k in range(40):
+        passage = take(51 + k % 10)
+        if k % 2:
+            for i in rnd.sample(range(len(passage)), 4):
+                passage[i] += "."
+        inner = " ".join(passage)
+        for copy in range(3):
+            before, after = " ".join(take(rnd.randrange(1, 40))), " ".join(take(rnd.randrange(1, 40))) + "."
+            docs.append((10 + 3 * k + copy, f"{before} {inner} {after}"))
+            if copy:
+                want.append((docs[-1][0], len(before) + 1, len(before) + 1 + len(inner), len(passage), 10 + 3 * k))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = [(r.doc_id, r.begin, r.end, r.n_words, r.kept_doc_id) for r in substring.repeated_spans(frame).collect()]
+    assert sorted(got) == sorted(want)
+
+
+def test_anchors_against_brute_force():
+    rnd = random.Random(3)
+    texts = [" ".join(rnd.choice("abc") for _ in range(rnd.randrange(60))) for _ in range(30)]
+    size, window = substring.anchor_sizes(9)
+    for _, _, w in word_slices(pa.array(texts)):
+        at, one, _ = substring.anchors(w, size, window)
+        want, value = set(), {}
+        for a, b in zip(w.first[:-1], w.first[1:], strict=True):
+            part = w.hash[a:b]
+            if len(part) < size:
+                continue
+            kind = [tuple(part[i:i + size]) for i in range(len(part) - size + 1)]
+            far = substring.mix(substring._sums(part, size, substring._OTHER), 24)
+            for i in range(len(kind) - window + 1):
+                want.add(int(a) + min(range(i, i + window), key=lambda j: (far[j], j)))
+            value.update({int(a) + i: (kind[i], int(far[i])) for i in range(len(kind))})
+        assert set(at.tolist()) == want
+        assert all(int(v) == value[int(i)][1] for i, v in zip(at, one, strict=True))
+        assert len({value[int(i)] for i in at}) == len({value[int(i)][0] for i in at})
+
+
 def test_chat_round_trip(spark):
     odd = ["\\### Assistant: </turn> ok", "\\b\\l\\h", "", None, "a: b\n### User: x</turn>\n", "é\\\\"]
     turns = [(c, t, r, odd[(c + t) % 6]) for c in range(6) for t, r in enumerate(["user", "assistant", "user", "assistant"])]
@@ -266,3 +314,11 @@ def test_word_kernel_bounds():
     t = ["ab", "cd ef", None, "", " x\n", "É b"]
     _, _, w = next(word_slices(pa.array(t)))
     assert np.diff(w.first).tolist() == [1, 2, 0, 0, 1, 2]
+
+
+def test_repeated_spans_with_and_without_broadcast_digests(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"start{i} " + BASE + f" tail{i}") for i in range(6)], "doc_id long, text string")
+    for hot in (1, 10 ** 6):
+        monkeypatch.setattr(substring, "HOT", hot)
+        got = {(r.doc_id, r.begin, r.end, r.kept_doc_id) for r in substring.repeated_spans(docs).collect()}
+        assert got == {(i, 7, 7 + len(BASE), 0) for i in range(1, 6)}
