@@ -242,8 +242,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict[str, n
     known = labels.filter(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     by = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
     picked = known.withColumn("r", F.row_number().over(by)).filter(F.col("r") <= sample)
-    rows = (docs.select("doc_id", "text").join(picked, "doc_id").filter(F.col("text").isNotNull())
-            .orderBy("toxic", "r", "text").limit(2 * sample).collect())
+    # one text for each picked doc_id, so that no repeated row can push a label out; at most ``sample`` rows a label
+    rows = (docs.select("doc_id", "text").filter(F.col("text").isNotNull()).join(F.broadcast(picked), "doc_id")
+            .groupBy("doc_id", "toxic", "r").agg(F.min("text").alias("text")).orderBy("toxic", "r").collect())
     y = [int(r.toxic) for r in rows]
     return train([r.text for r in rows], y) if len(set(y)) == 2 else None
 

@@ -300,6 +300,15 @@ def test_language_and_toxicity_learn(spark, edge, none):
     assert toxicity.toxicity(none, p).count() == 0 and toxicity.toxicity(edge, None).count() == len(rows())
 
 
+def test_toxicity_learns_from_repeated_rows(spark):
+    docs = spark.createDataFrame([(i % 10, f"{'awful' if i % 10 > 6 else 'fine'} text {i % 10}") for i in range(60)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i > 6)) for i in range(10)], "doc_id long, toxic int")
+    once = toxicity.fit(docs.dropDuplicates(), labels, sample=4)
+    many = toxicity.fit(docs, labels, sample=4)
+    assert many is not None and all((once[k] == many[k]).all() for k in once)
+
+
 def test_license_families(spark, edge, none):
     lines = ["Released under the MIT License.", "Licensed under CC BY-NC 4.0.", "we walked home along the river and sang",
              "Licensed under the Apache License, Version 2.0."]
