@@ -20,7 +20,7 @@ block of about ``block_rows`` documents there is one row; a hot source is many b
 Defined results: null text has size 0; sources stand in code point order, null last, and
 take the weights in turn; an all-empty table has targets 0; a document with size 0 is in
 no mix; repeated rows are taken together and share
-evenly what they take; further columns pass through ``mix``; an
+evenly what they take (rows without a doc_id are the same row if their texts are equal); further columns pass through ``mix``; an
 empty table gives no rows.
 """
 
@@ -45,6 +45,19 @@ def word_count():
     return F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def row_hash(seed: int, *cells):
+    """Hash of ``cells`` and the doc_id, of the text in place of a null doc_id."""
+    return F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit(seed), "text", *cells)).otherwise(
+        F.xxhash64(F.lit(seed), "doc_id", *cells))
+
+
+def _same_row(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
+    """Join on (doc_id, sid, key), a null doc_id being equal to null; ``right``'s copies of them go."""
+    right = right.withColumnsRenamed({c: f"__{c}" for c in ("doc_id", "sid", "key")})
+    same = F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("sid") == F.col("__sid")) & (F.col("key") == F.col("__key"))
+    return left.join(right, same, how).drop("__doc_id", "__sid", "__key")
+
+
 def targets(sizes: DataFrame, weights: Sequence[float], share: float, most: float) -> DataFrame:
     """(sid, source, source_size, n_docs, target) for each source; sid counts sources from 0."""
     per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
@@ -92,15 +105,15 @@ def draws(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float =
     takes: (sid, block, pass, shard, words): how many words of the block each draw takes.
     """
     spark = docs.sparkSession
-    sizes = saved(docs.select("doc_id", "source", word_count().alias("size")))
+    sizes = docs.select("doc_id", "source", "text", word_count().alias("size"))
+    sizes = saved(sizes.select("doc_id", "source", "size", row_hash(seed, "size").alias("key"), row_hash(seed + 1).alias("spot")))
     per = saved(targets(sizes, weights, share, most))
     per = per.withColumns({
         "whole": F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"),
         "blocks": F.ceil(F.col("n_docs") / block_rows)})
     per = per.withColumn("rest", F.floor("target").cast("long") - F.col("whole") * F.col("source_size"))
-    key = F.xxhash64(F.lit(seed), "doc_id", "size")
-    placed = sizes.join(per.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).withColumns(
-        {"key": key, "block": F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), "blocks")})
+    placed = sizes.join(per.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).withColumn(
+        "block", F.pmod("spot", "blocks"))
     placed = saved(placed.select("doc_id", "sid", "block", "size", "source_size", "target", "whole", "rest", "key"))
     block = placed.groupBy("sid", "block").agg(F.sum("size").alias("words"), F.first("whole").alias("whole"),
                                                F.first("rest").alias("rest"))
@@ -145,8 +158,8 @@ def mix_report(docs: DataFrame, **options) -> DataFrame:
                                                                        F.count("*").alias("n"))
     same = placed.groupBy("doc_id", "sid", "key").agg(F.count("*").alias("rows"))
     # repeated rows share what their copies take
-    got = got.join(same, ["doc_id", "sid", "key"]).withColumn("got", F.floor(F.col("got") / F.col("rows")))
-    return (placed.join(got.select("doc_id", "sid", "key", "got"), ["doc_id", "sid", "key"], "left")
+    got = _same_row(got, same).withColumn("got", F.floor(F.col("got") / F.col("rows")))
+    return (_same_row(placed, got.select("doc_id", "sid", "key", "got"), "left")
             .select("doc_id", "size", "source_size", "target", F.coalesce("got", F.lit(0)).cast("long").alias("taken")))
 
 
@@ -161,13 +174,14 @@ def mix(docs: DataFrame, seed: int = 11, **options) -> DataFrame:
     placed, takes = draws(docs, seed=seed, **options)
     rows = taken_rows(placed, takes).dropDuplicates(["doc_id", "key", "pass"]).select(
         *[F.col(c).alias(f"__{c}") for c in ("doc_id", "key", "shard", "pass", "words", "size")])
-    out = docs.withColumn("__mine", F.xxhash64(F.lit(seed), "doc_id", word_count()))
-    out = out.join(rows, (F.col("doc_id") == F.col("__doc_id")) & (F.col("__mine") == F.col("__key")))
+    out = docs.withColumn("__mine", row_hash(seed, word_count()))
+    out = out.join(rows, F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("__mine") == F.col("__key")))
     first = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), F.col("__words").cast("int")), " ")
     out = out.withColumn("text", F.when(F.col("__words") < F.col("__size"), first).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
-    out = out.withColumn("__order", F.xxhash64(F.lit(seed + 4), "__shard", "__pass", "__doc_id"))
+    own = F.when(F.col("__doc_id").isNull(), F.xxhash64(F.lit(seed + 4), "__shard", "__pass", "__key"))
+    out = out.withColumn("__order", own.otherwise(F.xxhash64(F.lit(seed + 4), "__shard", "__pass", "__doc_id")))
     out = out.withColumn("__piece", F.pmod("__order", F.lit(PIECES)))
     out = out.repartition("__shard", "__piece").sortWithinPartitions("__shard", "__piece", "__order")
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -259,9 +259,19 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
 
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The document with the smallest doc_id of each component, with the columns of ``docs``."""
-    kept = near_duplicates(docs, size, percent).filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """One row of each component, with the columns of ``docs``: that with the smallest doc_id (null last).
+
+    Rows are told apart by a hash of doc_id and text, which also decides between rows with
+    one doc_id.  A text without words is in no component: it stays, once for each doc_id and text.
+    """
+    rows = docs.withColumn("__key", F.xxhash64("doc_id", "text"))
+    named = near_duplicates(rows.select(F.col("__key").alias("doc_id"), "text"), size, percent)
+    named = named.select(F.col("doc_id").alias("__key"), "component_id").distinct()
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__key"))
+    kept = (rows.select("__key", "doc_id").join(named, "__key").groupBy("component_id").agg(first.alias("first"))
+            .select(F.col("first.__key").alias("__key")))
+    return (rows.join(kept, "__key", "left_semi").dropDuplicates(["__key"])
+            .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 @register("op3_ngram_jaccard_join")
