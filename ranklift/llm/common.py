@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -31,6 +32,13 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, folder: str = "rows") -> DataFrame:
+    """``df`` as compressed Parquet in the shared folder of ``spark.checkpoint.dir``; cuts the lineage."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{folder}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
