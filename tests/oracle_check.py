@@ -42,17 +42,29 @@ def _norm(v):
     return v
 
 
-def rows_of(pdf):
-    cols = sorted(pdf.columns)
+def spark_rows(df):
+    """(columns, rows) of a Spark result; nulls stay None, also in columns of whole numbers."""
+    return df.columns, [tuple(r) for r in df.collect()]
+
+
+def duck_rows(con, sql):
+    cur = con.execute(sql)
+    return [c[0] for c in cur.description], cur.fetchall()
+
+
+def rows_of(result):
+    names, rows = result
+    cols = sorted(names)
+    at = [names.index(c) for c in cols]
     out = []
-    for rec in pdf[cols].itertuples(index=False, name=None):
+    for rec in ([r[i] for i in at] for r in rows):
         out.append(tuple(_norm(x) for x in rec))
     return cols, sorted(out, key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
-def compare(spark_pdf, duck_pdf, tol=1e-9):
-    sc, sr = rows_of(spark_pdf)
-    dc, dr = rows_of(duck_pdf)
+def compare(spark_result, duck_result, tol=1e-9):
+    sc, sr = rows_of(spark_result)
+    dc, dr = rows_of(duck_result)
     if sc != dc:
         return f"columns differ: spark={sc} duck={dc}"
     if len(sr) != len(dr):
@@ -91,21 +103,21 @@ def main():
     for n in names:
         t0 = time.time()
         try:
-            sp = qs[n](spark, sf_dir).toPandas()
+            sp = spark_rows(qs[n](spark, sf_dir))
         except Exception as e:  # noqa: BLE001
             summary[n] = f"SPARK ERROR {type(e).__name__}: {str(e)[:300]}"
             print(n, summary[n], flush=True)
             continue
         t1 = time.time()
         if n not in sql:
-            summary[n] = f"no-sql rows={len(sp)}"
+            summary[n] = f"no-sql rows={len(sp[1])}"
         else:
             try:
-                dk = con.execute(sql[n]).df()
+                dk = duck_rows(con, sql[n])
                 summary[n] = compare(sp, dk)
             except Exception as e:  # noqa: BLE001
                 summary[n] = f"DUCK ERROR {type(e).__name__}: {str(e)[:300]}"
-        print(f"{n:32s} {t1 - t0:6.2f}s rows={len(sp):6d} {summary[n]}", flush=True)
+        print(f"{n:32s} {t1 - t0:6.2f}s rows={len(sp[1]):6d} {summary[n]}", flush=True)
     bad = [n for n, v in summary.items() if not (v in ("ok", "close") or v.startswith("no-sql"))]
     print("FAILED:", bad)
 
