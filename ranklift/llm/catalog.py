@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 MODULES = ("quality", "topk", "ngram_join", "toxicity", "langid", "substring", "licenses", "chat", "bpe_codec", "mixing",
-           "decontam", "prefix_trie")
+           "decontam", "prefix_trie", "repair")
 
 
 def register(name: str, sql: str | None = None):
