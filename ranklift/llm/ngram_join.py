@@ -52,7 +52,7 @@ def _count_tokens(size: int, keep: int):
 
     def run(batches):
         for b in batches:
-            for _, _, w in word_slices(b.column("text"), 8 << 20):
+            for _, _, w in word_slices(b.column("text")):
                 sets = list(shingle_sets(w, size))
                 tok, n = np.unique(np.concatenate(sets) & mask, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(tok.view(np.int64)), pa.array(n.astype(np.int32))],
