@@ -24,24 +24,23 @@ The first pass counts digests; what occurs twice or more marks a byte array of f
 that the second pass uses to send only units and anchors that may repeat.  A third pass
 reads the words beside the matched passages.
 
-Defined results: null and empty texts have no units; rows that share a doc_id are the
-same document (equal units of theirs are one occurrence); further columns pass through
-``remove_repeats``; an empty table gives no rows.
+Defined results: null and empty texts have no units; equal rows (doc_id, text) are the same
+document (equal units of theirs are one occurrence).  Other texts under one doc_id, and
+rows without a doc_id, are documents of their own that rank behind all others; spans are
+told apart by ``text_hash`` there.  Further columns pass through ``remove_repeats``; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ranklift.llm.catalog import register
-from ranklift.llm.common import slot_sketch, table
+from ranklift.llm.common import slot_sketch, table, written
 from ranklift.llm.words import Words, mix, powers, word_slices
-from ranklift.session import ensure_checkpoint_dir
 
 LONG = 32
 MIN_WORDS = 25
@@ -111,7 +110,7 @@ def _digests(size, window):
     """(h1, n) of the units and anchors of each slice."""
     def run(batches):
         for b in batches:
-            for _, _, w in word_slices(b.column("text"), 8 << 20):
+            for _, _, w in word_slices(b.column("text")):
                 one, n = np.unique(np.r_[units(w)[2], anchors(w, size, window)[1]], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(one.view(np.int64)), pa.array(n.astype(np.int32))], names=["h1", "n"])
     return run
@@ -215,13 +214,6 @@ def _extended(side):
     return run
 
 
-def _written(df: DataFrame) -> DataFrame:
-    """``df`` as Parquet in the shared checkpoint folder, which takes less disk than a checkpoint."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/substring-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def _runs(rows: DataFrame, by: list[str]) -> DataFrame:
     """``rows`` with ``run``: rows (word, stop) with equal ``by`` that overlap or touch have the same number."""
     upto = Window.partitionBy(*by).orderBy("word", "stop")
@@ -236,7 +228,7 @@ def _grown(docs: DataFrame, again: DataFrame, side: int) -> DataFrame:
     ``kept_doc_id`` keeps the first unit or anchor, ``kept_anchor`` is the smallest document that keeps an anchor.
     """
     anchor = F.col("anchor")
-    runs = _written(_runs(again, ["doc_id"]).groupBy("doc_id", "run").agg(
+    runs = written(_runs(again, ["doc_id"]).groupBy("doc_id", "run").agg(
         *[F.min(c).alias(c) for c in ("word", "begin")], *[F.max(c).alias(c) for c in ("stop", "end")],
         F.count("*").alias("n_units"), F.min_by("kept_doc_id", F.struct("word", "kept_doc_id")).alias("kept_doc_id"),
         F.min(F.when(anchor, F.col("kept_doc_id"))).alias("kept_anchor"), F.min(F.when(anchor, F.struct("word", "kept_doc_id", "kept_word"))).alias("head"),
@@ -266,17 +258,47 @@ def _grown(docs: DataFrame, again: DataFrame, side: int) -> DataFrame:
                          "kept_anchor long")
 
 
+def with_row_id(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(``docs`` with ``row_id`` and ``text_hash``, the pairs (row_id, id) whose row_id is not the doc_id).
+
+    row_id is the doc_id where that names one text; the other texts of a doc_id, and rows
+    without one, get a hash of both, above 2**62.
+    """
+    docs = docs.withColumn("text_hash", F.xxhash64("text")).withColumn("id", F.col("doc_id").cast("long"))
+    several = docs.groupBy("id").agg(F.min("text_hash").alias("lo"), F.max("text_hash").alias("hi"))
+    several = written(several.filter("id is not null and lo <> hi").select(F.col("id").alias("s"), "lo"))  # mostly empty
+    high = F.lit(1 << 62)
+    own = F.xxhash64("id", "text", F.lit(7)).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(high)
+    rows = docs.join(several, F.col("id") == F.col("s"), "left").withColumn("row_id", F.when(
+        F.col("id").isNull() | (F.col("text_hash") != F.col("lo")), own).otherwise(F.col("id")))
+    return rows.drop("s", "lo"), rows.filter((F.col("row_id") >= high) & ~F.col("row_id").eqNullSafe(F.col("id"))).select("row_id", "id").distinct()
+
+
 def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, bits: int = 24) -> DataFrame:
-    """(doc_id, begin, end, n_units, n_words, kept_doc_id): spans to remove, end exclusive.
+    """(doc_id, begin, end, n_units, n_words, kept_doc_id, text_hash): spans to remove, end exclusive.
 
     ``n_units`` counts the repeated units and anchors in the span; ``kept_doc_id`` is the
     smallest document that keeps one of the span's anchors or, if it has none, the first unit.
     """
+    rows, odd = with_row_id(docs.select("doc_id", "text"))
+    spans = row_spans(rows.select(F.col("row_id").alias("doc_id"), "text"), min_words, bits)
+    odd = written(odd)
+    for c in ("doc_id", "kept_doc_id"):
+        name = odd.select(F.col("row_id").alias("r"), F.col("id").alias("own"), F.lit(True).alias("odd"))
+        spans = spans.join(name, F.col(c) == F.col("r"), "left")
+        if c == "doc_id":
+            spans = spans.withColumn("row", F.col(c))
+        spans = spans.withColumn(c, F.when(F.col("odd"), F.col("own")).otherwise(F.col(c))).drop("r", "own", "odd")
+    hashes = rows.select(F.col("row_id").alias("row"), "text_hash").distinct()
+    return spans.join(hashes, "row").drop("row")
+
+
+def row_spans(docs: DataFrame, min_words: int = MIN_WORDS, bits: int = 24) -> DataFrame:
+    """As ``repeated_spans``, for rows whose doc_id is not null and names one text."""
     size, window = anchor_sizes(PASSAGE)
-    docs = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     often = (docs.select("text").mapInArrow(_digests(size, window), "h1 long, n int").repartition("h1")
              .groupBy("h1").agg(F.sum("n").alias("n")))
-    often = _written(often.filter("n > 1"))
+    often = written(often.filter("n > 1"))
     sketch = slot_sketch(often.select(F.col("h1").alias("key"), F.lit(1).alias("level")), bits)
     sent = docs.sparkSession.sparkContext.broadcast(sketch)
     rows = docs.mapInArrow(_candidates(sent, size, window), "doc_id long, word int, words int, begin int, end int, "
@@ -287,7 +309,7 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, bits: int = 24)
     hot = [r.h1 for r in often.filter(F.col("n") * HOT > total).select("h1").collect()]
     kept = F.min(F.struct("doc_id", "word"))
     if hot:
-        rows = _written(rows)
+        rows = written(rows)
         often_met = F.broadcast(docs.sparkSession.createDataFrame([(h,) for h in hot], "h1 long"))
         first = rows.join(often_met, "h1", "left_semi").groupBy("h1", "h2").agg(kept.alias("kept"))
         met = rows.join(F.broadcast(first), ["h1", "h2"])
@@ -315,9 +337,11 @@ def cut(text, spans):
 
 def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with the repeated spans taken out of ``text``; ``n_chars``, if there, follows the text."""
-    spans = (repeated_spans(docs, min_words).groupBy(F.col("doc_id").alias("__id"))
+    rows, _ = with_row_id(docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")))
+    rows = rows.select("row_id", "text", "__row")
+    spans = (row_spans(rows.select(F.col("row_id").alias("doc_id"), "text"), min_words).groupBy(F.col("doc_id").alias("row_id"))
              .agg(F.sort_array(F.collect_list(F.struct("begin", "end"))).alias("__spans")))
-    out = docs.join(spans, docs["doc_id"] == F.col("__id"), "left")
+    out = rows.join(spans, "row_id", "left").select(*[F.col(f"__row.`{c}`").alias(c) for c in docs.columns], "__spans")
     out = out.withColumn("text", F.when(F.col("__spans").isNull(), F.col("text")).otherwise(cut(F.col("text"), F.col("__spans"))))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
