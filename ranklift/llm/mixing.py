@@ -20,7 +20,7 @@ block of about ``block_rows`` documents there is one row; a hot source is many b
 Defined results: null text has size 0; sources stand in code point order, null last, and
 take the weights in turn; an all-empty table has targets 0; a document with size 0 is in
 no mix; repeated rows are taken together and share
-evenly what they take (rows without a doc_id are the same row if their texts are equal); further columns pass through ``mix``; an
+what they take, to a word (rows without a doc_id are the same row if their texts are equal); further columns pass through ``mix``; an
 empty table gives no rows.
 """
 
@@ -38,6 +38,8 @@ from ranklift.llm.common import WORD, saved, table
 
 #: Random pieces of an output shard; each is shuffled by itself.
 PIECES = 32
+#: Equal rows that one step hands out.
+ROWS = 1 << 16
 
 
 def word_count():
@@ -152,15 +154,20 @@ def taken_rows(placed: DataFrame, takes: DataFrame) -> DataFrame:
 
 
 def mix_report(docs: DataFrame, **options) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) for every row of ``docs``."""
+    """(doc_id, size, source_size, target, taken, shards) for every row of ``docs``; shards: where its words go."""
     placed, takes = draws(docs, **options)
-    got = taken_rows(placed, takes).groupBy("doc_id", "sid", "key").agg(F.sum("words").alias("got"),
-                                                                       F.count("*").alias("n"))
-    same = placed.groupBy("doc_id", "sid", "key").agg(F.count("*").alias("rows"))
-    # repeated rows share what their copies take
-    got = _same_row(got, same).withColumn("got", F.floor(F.col("got") / F.col("rows")))
-    return (_same_row(placed, got.select("doc_id", "sid", "key", "got"), "left")
-            .select("doc_id", "size", "source_size", "target", F.coalesce("got", F.lit(0)).cast("long").alias("taken")))
+    got = taken_rows(placed, takes).groupBy("doc_id", "sid", "key").agg(
+        F.sum("words").alias("got"), F.array_sort(F.collect_set("shard")).alias("shards"))
+    same = placed.groupBy("doc_id", "sid", "key", "size", "source_size", "target").agg(F.count("*").alias("rows"))
+    # repeated rows share what their copies take, the first ones a word more where it doesn't divide; they are
+    # one row here and come back in blocks
+    per = _same_row(same, got, "left").withColumn("got", F.coalesce("got", F.lit(0)))
+    per = per.withColumn("block", F.explode(F.expr(f"sequence(0, (rows - 1) div {ROWS})")))
+    per = per.repartition("key", "block").withColumn("at", F.explode(F.expr(
+        f"sequence(block * {ROWS}, least(rows, (block + 1) * {ROWS}) - 1)")))
+    taken = F.floor(F.col("got") / F.col("rows")) + (F.col("at") < F.col("got") % F.col("rows")).cast("long")
+    return per.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"),
+                      F.coalesce("shards", F.array().cast("array<long>")).alias("shards"))
 
 
 def mix(docs: DataFrame, seed: int = 11, **options) -> DataFrame:
