@@ -7,9 +7,10 @@ all learning documents.  The weights are learnt with follow-the-regularised-lead
 documents, and a temperature is then calibrated on another part of that sample.  Every
 text is scored whole, with numpy inside the tasks.
 
-Bounds: ``SAMPLE`` documents per language at most (by smallest hash of doc_id), for
-``MAX_LANGUAGES`` languages at most, go to the driver for learning; scoring has no bound.  Defined results: a text that is null or has no letter is ``und`` with score 0;
-repeated rows are each scored; without learning rows every text is ``und``; further
+Bounds: ``SAMPLE`` documents per language at most (by smallest hash of doc_id, one text of
+each) go to the driver for learning; scoring has no bound and sums a long text in pieces.
+Defined results: a text that is null or has no letter is ``und`` with score 0; repeated rows
+are each scored, and learnt from once; without learning rows every text is ``und``; further
 columns are ignored; an empty table gives no rows.
 """
 
@@ -23,12 +24,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ranklift.llm.catalog import register
-from ranklift.llm.common import table
+from ranklift.llm.common import table, written
 from ranklift.llm.words import text_slices
 
 BITS = 15
-SAMPLE = 400
-MAX_LANGUAGES = 400
+SAMPLE = 600
 _RNG = np.random.Generator(np.random.PCG64(77))
 _MUL = _RNG.integers(1, 2 ** 62, 4, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 UND = "und"
@@ -54,7 +54,10 @@ def grams(buf: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     lead = np.cumsum(np.r_[0, (buf & 0xC0) != 0x80])
     first = lead[bounds]
     inside = chars < 65536
-    code = np.where(inside, _CODE[np.where(inside, chars, 0)], chars).astype(np.uint64)
+    code = np.where(inside, _CODE[np.where(inside, chars, 0)], 0).astype(np.uint64)
+    if not inside.all():
+        far, at = np.unique(chars[~inside], return_inverse=True)
+        code[~inside] = np.array([ord(chr(c).lower()[0]) if chr(c).isalpha() else 0 for c in far], np.uint64)[at]
     letters = np.cumsum(np.r_[0, code > 0])
     blank = code == 0
     keep = ~(blank & np.r_[False, blank[:-1]])  # runs of non-letters are one blank
@@ -140,10 +143,17 @@ def fit_ftrl(rows, label, k: int, idf: np.ndarray, scale: float = 30.0, alpha: f
 
 
 def calibrate(logits: np.ndarray, label: np.ndarray) -> float:
-    """Temperature with the least log loss, by golden-section search on a log scale."""
+    """Temperature with the least log loss, by golden-section search on a log scale.
+
+    The true label counts (n + 1) / (n + 2), the others share the rest, so that the least
+    lies inside the search bounds also when every row is right.
+    """
+    k, rest = logits.shape[1], 1 / (len(label) + 2)
+    aim = np.full(logits.shape, rest / max(k - 1, 1))
+    aim[np.arange(len(label)), label] = 1 - rest if k > 1 else 1.0
+
     def loss(t):
-        p = _softmax(logits / np.exp(t))
-        return -np.log(np.maximum(p[np.arange(len(label)), label], 1e-12)).mean()
+        return -(aim * np.log(np.maximum(_softmax(logits / np.exp(t)), 1e-12))).sum(axis=1).mean()
 
     a, b, g = np.log(0.05), np.log(20.0), (np.sqrt(5) - 1) / 2
     for _ in range(40):
@@ -156,9 +166,13 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     """Model from (doc_id, text, lang) learning rows; ``None`` if there are none."""
     docs = docs.filter(F.col("lang").isNotNull())
     by = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    usable = docs.filter(F.col("text").rlike(r"\p{L}"))
-    picked = usable.select("lang", "doc_id").withColumn("r", F.row_number().over(by)).filter(F.col("r") <= sample)
-    rows = (usable.join(picked, ["lang", "doc_id"]).orderBy("lang", "r", "text").limit(sample * MAX_LANGUAGES).collect())
+    # one text for each (lang, doc_id), the least by hash; ``sample`` of them for each language
+    usable = docs.filter(F.col("text").rlike(r"\p{L}")).withColumn("h", F.xxhash64("text"))
+    one = usable.groupBy("lang", "doc_id").agg(F.min("h").alias("h"))
+    picked = written(one.withColumn("r", F.row_number().over(by)).filter(F.col("r") <= sample))
+    texts = usable.join(picked, (usable["lang"] == picked["lang"]) & usable["doc_id"].eqNullSafe(picked["doc_id"]) & (usable["h"] == picked["h"]))
+    texts = texts.select(picked["lang"], "r", "text").dropDuplicates(["lang", "r"])
+    rows = texts.orderBy("lang", "r").collect()
     if not rows:
         return None
     df = np.zeros(1 << BITS)
@@ -176,6 +190,19 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     return Model(names, w.astype(np.float32), bias, t)
 
 
+def _sums(weight: np.ndarray, slots: np.ndarray, first: np.ndarray, cells: int = 1 << 22) -> np.ndarray:
+    """Sum of the weights of each text's n-grams, at most ``cells`` weights at once."""
+    out = np.zeros((len(first) - 1, weight.shape[1]))
+    some = np.flatnonzero(np.diff(first))
+    start, step = first[some], max(1, cells // weight.shape[1])
+    for a in range(0, len(slots), step):
+        z = min(a + step, len(slots))
+        lo, hi = np.searchsorted(start, a, side="right") - 1, np.searchsorted(start, z)
+        cut = np.maximum(start[lo:hi], a) - a
+        out[some[lo:hi]] += np.add.reduceat(weight[slots[a:z]], cut, axis=0, dtype=np.float64)
+    return out
+
+
 def _score(model):
     def run(batches):
         m = model.value
@@ -184,10 +211,8 @@ def _score(model):
             ids = b.column("doc_id")
             for at, rows, buf, bounds in text_slices(b.column("text"), 1 << 19):
                 slots, first, letters = grams(buf, bounds)
-                total = np.zeros((len(slots) + 1, len(m.languages)))
-                np.cumsum(m.weight[slots], axis=0, dtype=np.float64, out=total[1:])
                 n = np.maximum(np.diff(first), 1)[:, None]
-                p = _softmax(((total[first[1:]] - total[first[:-1]]) / n + m.bias) / m.temperature)
+                p = _softmax((_sums(m.weight, slots, first) / n + m.bias) / m.temperature)
                 best = p.argmax(axis=1)
                 none = letters == 0
                 yield pa.RecordBatch.from_arrays(
