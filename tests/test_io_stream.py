@@ -51,4 +51,7 @@ def test_entry_contract(spark):
     assert out.count() > 0 and "rate" in out.columns
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
-    assert not [n for n in qs if n.startswith("op") or "pipeline" in n]
+    from ranklift.plans import catalog
+    assert set(catalog.QUERIES) <= set(qs) and set(catalog.ORACLE) <= set(sql)
+    more = set(qs) - set(catalog.QUERIES)  # of the optional subpackage, if it is there
+    assert all(n == "pipeline" or n.startswith("op") for n in more)
