@@ -58,6 +58,7 @@ def prepare(df: DataFrame, cfg: FeatureConfig) -> DataFrame:
     d = add_derived(df, use_temporal=cfg.use_temporal)
     a, b = S.text_segments("title", "description", cfg.keep_marker, cfg.keep_tail)
     d = d.withColumns({"text_a": a, "text_b": b})
+    d = d.withColumn("text_both", F.concat_ws(" [SEP] ", "text_a", "text_b"))
     if cfg.use_cart:
         d = d.withColumn("cart_num", F.col("cart").cast("double"))
     if "bought" in d.columns:
@@ -105,6 +106,8 @@ class FeatureEstimator:
         ohe = OneHotEncoder(inputCols=[f"{c}_code" for c in cats], outputCols=[f"{c}_oh" for c in cats],
                             dropLast=False, handleInvalid="error").fit(model.encode(d))
         object.__setattr__(model, "onehot_model", ohe)
+        levels = {r["feature"]: r["n"] + 1 for r in vocab.groupBy("feature").agg(F.max("code").alias("n")).collect()}
+        object.__setattr__(model, "levels", {c: levels.get(c, 1) for c in cats})  # one number a column
         return model
 
 
@@ -114,6 +117,8 @@ class FeatureModel:
     stats: DataFrame
     vocab: DataFrame
     onehot_model: object = field(default=None, compare=False, repr=False)
+    #: Codes of each categorical column, 0 for unseen values included.
+    levels: dict = field(default=None, compare=False, repr=False)
 
     # D4 / J2 ----------------------------------------------------------------
     def encode(self, d: DataFrame) -> DataFrame:
@@ -189,7 +194,17 @@ class FeatureModel:
         num = [f"{c}_scaled" for c in self.cfg.numeric_cols()]
         d = d.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in num})
         lin = VectorAssembler(inputCols=num + [f"{c}_oh" for c in cats], outputCol="features_linear").transform(d)
-        return VectorAssembler(inputCols=num + [f"{c}_code" for c in cats], outputCol="features_tree").transform(lin)
+        out = VectorAssembler(inputCols=num + [f"{c}_code" for c in cats], outputCol="features_tree").transform(lin)
+        # the kind of a column goes with its role, never with its number of levels; slot 0 is there for unseen values
+        attrs = {"numeric": [{"idx": i, "name": c} for i, c in enumerate(num)], "nominal": [
+            {"idx": len(num) + i, "name": f"{c}_code", "num_vals": max(2, int(self.levels[c]))} for i, c in enumerate(cats)]}
+        return out.withMetadata("features_tree", {"ml_attr": {"num_attrs": len(num) + len(cats), "attrs": {
+            kind: own for kind, own in attrs.items() if own}}})
+
+    def unpersist(self) -> None:
+        """Release the fitted tables."""
+        self.stats.unpersist()
+        self.vocab.unpersist()
 
     # D9 ---------------------------------------------------------------------
     def summary(self) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,6 +59,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def written(df: DataFrame, name: str = "rows") -> DataFrame:
+    """``df`` as Parquet in the shared checkpoint folder: cuts the lineage, survives lost executors."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one of the parquet tables of a scale-factor directory."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
