@@ -42,9 +42,24 @@ def check_predictions(pred: DataFrame) -> DataFrame:
 
 
 # V1 / V2 ---------------------------------------------------------------------
+def checked_p() -> Column:
+    """``p``, or an error from the running job where it is missing or no probability (V0 in the same pass)."""
+    p = F.col("p")
+    sound = F.coalesce((p >= 0) & (p <= 1), F.lit(False))  # NaN is above 1
+    return F.when(sound, p).otherwise(F.raise_error(F.concat(
+        F.lit("p outside [0, 1] or missing (looks like logits?): "), F.coalesce(p.cast("string"), F.lit("null")))).cast("double"))
+
+
+def checked_y() -> Column:
+    y = F.col("y").cast("double")
+    return F.when(F.coalesce(y.isin(0.0, 1.0), F.lit(False)), y).otherwise(F.raise_error(F.concat(
+        F.lit("y outside {0, 1} or missing: "), F.coalesce(F.col("y").cast("string"), F.lit("null")))).cast("double"))
+
+
 def score_counts(pred: DataFrame, by: list[str] | None = None) -> DataFrame:
     by = by or []
-    y = F.col("y").cast("double")
+    pred = pred.withColumns({"p": checked_p(), "y": checked_y()})
+    y = F.col("y")
     w = F.col("w").cast("double") if "w" in pred.columns else F.lit(1.0)
     return pred.groupBy(*by, "p").agg(F.sum(y * w).alias("pos"), F.sum((1 - y) * w).alias("neg"))
 

@@ -88,7 +88,7 @@ def q_loss_aggregates(spark, sf_dir):
     return l.withColumns({c: rnd(c) for c in l.columns})
 
 
-BOOT = 200
+BOOT = 1000
 
 
 @register("bootstrap_ev", with_sql(f"""

@@ -104,3 +104,53 @@ def test_weighted_metrics_equal_repeated_rows(spark):
     a, b = binary_metrics(w).first(), binary_metrics(rep).first()
     for k in ("roc_auc", "pr_auc", "brier", "log_loss"):
         assert a[k] == pytest.approx(b[k])
+
+
+def test_bootstrap_batches_and_poisson_weights(spark):
+    rng = np.random.default_rng(4)
+    rows = [(f"r{i}", f"g{rng.integers(0, 25)}", int(rng.random() < 0.3), float(np.round(rng.random(), 1))) for i in range(300)]
+    pred = spark.createDataFrame(rows, "row_id string, grp string, y int, p double")
+    one = sorted(tuple(r) for r in RU.bootstrap_replicates(pred, 20, 5).collect())
+    few = sorted(tuple(r) for r in RU.bootstrap_replicates(pred, 20, 5, batch=7).collect())
+    assert np.allclose(np.array(one), np.array(few))
+    for mode in ("exact", "poisson"):  # each replicate against the weighted metrics
+        got = {r.rep: r for r in RU.bootstrap_replicates(pred, 6, 5, mode).collect()}
+        w = RU._group_weights(pred.select("grp").distinct(), range(6), 5, mode).collect()
+        for k in range(6):
+            own = {r.grp: r.w[k] for r in w}
+            if mode == "exact":
+                assert sum(own.values()) == pred.select("grp").distinct().count()
+            weighted = spark.createDataFrame([(*r, own.get(r[1], 0)) for r in rows if own.get(r[1], 0)], "row_id string, grp string, y int, p double, w long")
+            want = binary_metrics(weighted).first()
+            for m in ("prevalence", *RU.METRICS):
+                assert got[k][m] == pytest.approx(want[m])
+    many = RU._group_weights(spark.range(4000).select(F.col("id").cast("string").alias("grp")), range(2), 1, "poisson")
+    w = np.array([r.w for r in many.collect()])
+    assert abs(w.mean() - 1) < 0.05 and abs(w.var() - 1) < 0.1
+    with pytest.raises(ValueError):
+        RU.bootstrap_replicates(pred, 2, mode="other")
+
+
+def test_verdict_goes_by_delta_without_spread(spark):
+    rows = [(n, m, 0.0, 5) for n, m in (("base", 0.4), ("up", 0.8), ("down", 0.1), ("same", 0.4))]
+    s = spark.createDataFrame(rows, "run_name string, pr_auc_mean double, pr_auc_sd double, runs long")
+    got = {r.run_name: r.verdict for r in RU.compare_to_base(s, "base").collect()}
+    assert got == {"base": "base", "up": "better", "down": "worse", "same": "indistinguishable"}
+    with pytest.raises(ValueError):
+        RU.select_config(s.filter("false"), "base")
+    with pytest.raises(ValueError):
+        RU.select_config(s, "base", disqualified=["base"])
+
+
+def test_declared_keys_have_to_be_the_changed_ones(spark):
+    base, over = {"lr": 0.1, "layers": 1}, {"deep": {"layers": 2, "lr": 0.1}}
+    assert RU.experiment_grid(spark, base, over, declared={"deep": ["layers"]}).count() == 50
+    with pytest.raises(ValueError):
+        RU.experiment_grid(spark, base, over, declared={"deep": ["layers", "lr"]})
+
+
+@pytest.mark.parametrize("p, y", [(3.2, 1), (-0.1, 0), (None, 1), (float("nan"), 1), (0.5, None), (0.5, 2)])
+def test_metrics_refuse_what_is_no_prediction(spark, p, y):
+    pred = spark.createDataFrame([("a", "g", 1, 0.3), ("b", "g", y, p)], "row_id string, grp string, y int, p double")
+    with pytest.raises(Exception, match="outside"):
+        binary_metrics(pred).collect()
