@@ -10,12 +10,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ranklift.functions import scalars as S
 from ranklift.operators.derive import add_derived
+from ranklift.operators.ordering import prefix_sums_by
 
 UNK_CODE = 0
 UNK = "[UNK]"
@@ -76,6 +76,86 @@ def _long(df: DataFrame, cols: list[str], cast: str) -> DataFrame:
     return df.select([F.col(c).cast(cast).alias(c) for c in cols]).unpivot([], cols, "feature", "value")
 
 
+# D2 --------------------------------------------------------------------------
+#: Reference quantiles of a column, and the decimals at which values are compared with them.
+QUANTILES, QUANTILE_DIGITS = 1000, 9
+
+
+def quantile_grid(rows: DataFrame, by: str, value: str, n: int = QUANTILES) -> DataFrame:
+    """(by, quantiles): ``n`` exact linear quantiles of each group, at equal steps from minimum to maximum.
+
+    Distinct values are counted and added up in order (X1 within groups); a value then knows
+    by arithmetic which of the n ranks fall on it, so ranks and values meet without a join.
+    """
+    v = (rows.filter(F.col(value).isNotNull() & ~F.isnan(value)).groupBy(by, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("cnt")))
+    sizes = v.groupBy(by).agg((F.sum("cnt") - 1).alias("top"))
+    cum = prefix_sums_by(v, [by], "v", ["cnt"]).withColumn("cb", F.col("cum_cnt") - F.col("cnt")).join(sizes, by)
+    step = F.greatest(F.col("top"), F.lit(1)) / F.lit(float(n - 1))
+    # the ranks whose lower or upper neighbour may lie in [cb, cum)
+    first = F.greatest(F.floor((F.col("cb") - 1) / step) - 1, F.lit(0))
+    last = F.least(F.ceil(F.col("cum_cnt") / step) + 1, F.lit(n - 1))
+    at = cum.filter(first <= last).withColumn("i", F.explode(F.sequence(first, last)))
+    at = at.withColumn("pos", F.col("top") * (F.col("i") / F.lit(float(n - 1)))).withColumn("lo", F.floor("pos"))
+    at = at.withColumn("hi", F.least(F.col("lo") + 1, F.col("top")))
+    here = lambda c: F.max(F.when((F.col("cb") <= F.col(c)) & (F.col(c) < F.col("cum_cnt")), F.col("v")))
+    q = at.groupBy(by, "i").agg(here("lo").alias("a"), here("hi").alias("b"), F.max(F.col("pos") - F.col("lo")).alias("w"))
+    q = q.select(by, "i", S.rnd(F.col("a") + F.col("w") * (F.col("b") - F.col("a")), QUANTILE_DIGITS).alias("x"))
+    return q.groupBy(by).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda r: r["x"]).alias("quantiles"))
+
+
+def _let(value: F.Column, body) -> F.Column:
+    """``body`` of a value that is computed once, however often ``body`` names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def quantile_rank(x: F.Column, quantiles) -> F.Column:
+    """Place of ``x`` among ascending quantiles, 0 to 1: between two of them by interpolation, on equal ones their middle.
+
+    ``quantiles`` is a numpy array, one literal of the plan; its last element not above (or
+    first not below) x is found by ten halving steps inside the expression.
+    """
+    n = len(quantiles)
+    q = F.lit(quantiles)
+    steps = F.array(*[F.lit(1 << k) for k in range(n.bit_length() - 1, -1, -1)])
+
+    def last(test):
+        return F.aggregate(steps, F.lit(-1), lambda i, s: F.when(F.coalesce(test(F.get(q, i + s)), F.lit(False)), i + s).otherwise(i))
+
+    def place(r):
+        left, right = F.get(q, r["upto"]), F.get(q, r["upto"] + 1)
+        return F.when(r["upto"] < 0, F.lit(0.0)).when(left == x, (r["upto"] + r["below"] + 1) / 2.0).when(
+            r["upto"] == n - 1, F.lit(float(n - 1))).otherwise(r["upto"] + (x - left) / (right - left)) / F.lit(float(max(n - 1, 1)))
+
+    found = F.struct(last(lambda v: v <= x).alias("upto"), last(lambda v: v < x).alias("below"))
+    return F.when(x.isNotNull(), _let(found, place))
+
+
+#: Coefficients of a published rational approximation of the normal quantile (relative error below 1.2e-9).
+NORMAL_A = (-3.969683028665376e+01, 2.209460984245205e+02, -2.759285104469687e+02, 1.383577518672690e+02, -3.066479806614716e+01, 2.506628277459239e+00)
+NORMAL_B = (-5.447609879822406e+01, 1.615858368580409e+02, -1.556989798598866e+02, 6.680131188771972e+01, -1.328068155288572e+01, 1.0)
+NORMAL_C = (-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e+00, -2.549732539343734e+00, 4.374664141464968e+00, 2.938163982698783e+00)
+NORMAL_D = (7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e+00, 3.754408661907416e+00, 1.0)
+NORMAL_TAIL, NORMAL_CLIP = 0.02425, 1e-7
+
+
+def normal_quantile(u: F.Column) -> F.Column:
+    """Normal quantile of ``u``, which is kept ``NORMAL_CLIP`` off 0 and 1."""
+    def poly(c, t):
+        out = F.lit(c[0])
+        for x in c[1:]:
+            out = out * t + F.lit(x)
+        return out
+
+    def tail(p):
+        return _let(F.sqrt(-2.0 * F.log(p)), lambda t: poly(NORMAL_C, t) / poly(NORMAL_D, t))
+
+    def at(p):
+        middle = _let((p - 0.5) * (p - 0.5), lambda r: (p - 0.5) * poly(NORMAL_A, r) / poly(NORMAL_B, r))
+        return F.when(p < NORMAL_TAIL, tail(p)).when(p > 1 - NORMAL_TAIL, -tail(1.0 - p)).otherwise(middle)
+
+    return _let(u, lambda v: F.when(v.isNotNull(), _let(F.least(F.greatest(v, F.lit(NORMAL_CLIP)), F.lit(1 - NORMAL_CLIP)), at)))
+
+
 class FeatureEstimator:
     def __init__(self, cfg: FeatureConfig | None = None):
         self.cfg = cfg or FeatureConfig()
@@ -87,14 +167,16 @@ class FeatureEstimator:
         self._fitted = True
         cfg = self.cfg
         d = prepare(train, cfg)
-        num = _long(d, cfg.numeric_cols(), "double")
-        if cfg.scaler == "standard":  # D1: population sd, zero sd -> 1
-            stats = num.groupBy("feature").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("sd"))
+        if cfg.scaler == "standard":  # D1: population sd, zero sd -> 1; all columns in one row, then turned
+            one = d.agg(*[f(F.col(c).cast("double")).alias(f"{k}_{c}") for c in cfg.numeric_cols()
+                          for k, f in (("mean", F.avg), ("sd", F.stddev_pop))])
+            rows = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"mean_{c}").alias("mean"), F.col(f"sd_{c}").alias("sd"))
+                             for c in cfg.numeric_cols()])
+            stats = one.select(F.explode(rows).alias("r")).select("r.*")
             stats = stats.withColumn("sd", F.when((F.col("sd") == 0) | F.col("sd").isNull(), 1.0).otherwise(F.col("sd")))
         elif cfg.scaler == "quantile":  # D2: 1,000 reference quantiles per column (bounded)
-            probs = F.array(*[F.lit(i / 999) for i in range(1000)])
-            stats = num.where(F.col("value").isNotNull()).groupBy("feature").agg(
-                F.percentile_approx("value", probs, 10000).alias("quantiles"))
+            num = _long(d, cfg.numeric_cols(), "double")
+            stats = quantile_grid(num.withColumn("value", S.rnd("value", QUANTILE_DIGITS)), "feature", "value")
         else:
             raise ValueError(f"unknown scaler {cfg.scaler!r}")
         cat = _long(d, cfg.categorical_cols(), "string").where(F.col("value").isNotNull()).distinct()
@@ -154,28 +236,9 @@ class FeatureModel:
 
     def _quantile_scale(self, d: DataFrame) -> DataFrame:
         import numpy as np
-        from pyspark.sql.functions import pandas_udf
-        from statistics import NormalDist
-
-        refs = np.linspace(0, 1, 1000)
-        table = {r["feature"]: np.asarray(r["quantiles"], dtype=float) for r in self.stats.collect()}
-        clip_lo, clip_hi = 1e-7, 1 - 1e-7
-        out = d
-        def make(q):
-            @pandas_udf("double")
-            def qmap(x: pd.Series) -> pd.Series:
-                v = x.to_numpy(dtype=float)
-                fwd = np.interp(v, q, refs)
-                bwd = -np.interp(-v, -q[::-1], -refs[::-1])
-                u = np.clip(0.5 * (fwd + bwd), clip_lo, clip_hi)
-                res = np.frompyfunc(NormalDist().inv_cdf, 1, 1)(u).astype(float)
-                res[np.isnan(v)] = np.nan
-                return pd.Series(res)
-            return qmap
-
-        for c, q in table.items():
-            out = out.withColumn(f"{c}_scaled", make(q)(F.col(c).cast("double")))
-        return out
+        table = {r["feature"]: np.array(r["quantiles"], dtype=float) for r in self.stats.collect()}  # 1,000 numbers a column
+        return d.withColumns({f"{c}_scaled": normal_quantile(quantile_rank(S.rnd(F.col(c).cast("double"), QUANTILE_DIGITS), q))
+                              for c, q in table.items()})
 
     # D5 / D7 ----------------------------------------------------------------
     def layout(self) -> DataFrame:

@@ -70,3 +70,26 @@ def test_audit_and_coverage():
     assert check_audit(REGISTRY, list(IMPRESSION_COLUMNS) + ["surprise"]) == ["column without audit: surprise"]
     cov = feature_coverage(admitted(), FeatureConfig())
     assert cov == {"unaccounted": [], "extra": [], "both": []}
+
+
+def test_quantile_scaler_against_numpy(spark):
+    """Exact grid, two-sided interpolation, ties in the middle, clipped tails, null stays null."""
+    from statistics import NormalDist
+
+    import numpy as np
+
+    from ranklift.operators import features as FE
+    r = np.random.default_rng(6)
+    data = {"a": np.round(r.normal(size=400), 2), "b": np.repeat([1.0, 2.0, 5.0], [300, 60, 40]), "c": np.full(50, 7.0)}
+    rows = spark.createDataFrame([(k, float(x)) for k, v in data.items() for x in v], "feature string, value double")
+    grid = {x.feature: np.array(x.quantiles) for x in FE.quantile_grid(rows, "feature", "value").collect()}
+    refs = np.linspace(0, 1, 1000)
+    for k, v in data.items():
+        assert np.allclose(grid[k], np.quantile(v, refs), atol=1e-8)
+        q = grid[k]
+        x = np.r_[v[:40], v.min() - 1, v.max() + 1, np.mean(v), np.quantile(v, [0.123, 0.77])].round(9)
+        u = 0.5 * (np.interp(x, q, refs) - np.interp(-x, -q[::-1], -refs[::-1]))
+        want = [NormalDist().inv_cdf(min(max(t, 1e-7), 1 - 1e-7)) for t in u]
+        df = spark.createDataFrame([(i, float(t)) for i, t in enumerate(x)] + [(999, None)], "i int, x double")
+        got = {s.i: s.z for s in df.select("i", FE.normal_quantile(FE.quantile_rank(F.col("x"), q)).alias("z")).collect()}
+        assert got[999] is None and np.allclose([got[i] for i in range(len(x))], want, atol=1e-6)
