@@ -314,7 +314,7 @@ def test_license_families(spark, edge, none):
              "Licensed under the Apache License, Version 2.0."]
     docs = edge.select("doc_id", "text").unionByName(spark.createDataFrame(
         [(200 + i, f"some text\n{t}") for i, t in enumerate(lines)], "doc_id long, text string"))
-    got = {(r.doc_id, r.para_no, r.family) for r in licenses.scan(docs, *licenses.fit(docs)).filter("confirmed").collect()}
+    got = {(r.doc_id, r.last_line, r.family) for r in licenses.scan(docs, licenses.fit(docs)).filter("confirmed").collect()}
     assert got == {(200, 1, "mit"), (201, 1, "cc-by-nc-4.0"), (203, 1, "apache-2.0")}
 
 
