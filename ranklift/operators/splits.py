@@ -8,11 +8,12 @@ index (X3) instead of a global sort into one partition.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ranklift.functions.scalars import hash_bigint
 from ranklift.operators.ordering import dense_index
+from ranklift.session import written
 
 
 def group_table(df: DataFrame, grp: str, target: str | None = None) -> DataFrame:
@@ -174,31 +175,42 @@ def batch_assign(ordered: DataFrame, size: int, drop_last: bool = False, pos: st
 
 
 # E11 -------------------------------------------------------------------------
+SHARD_GROUPS = 100_000
+
+
 def pack_groups(df: DataFrame, grp: str, batch_rows: int, shards: int | None = None, seed: int = 42) -> DataFrame:
     """Training-export layout: batches that never split a group.
 
-    Groups are hashed to shards; inside each shard (one pandas batch of group
-    sizes, never of rows) groups are packed greedily in hash order, closing a
-    batch when the next group would overflow.  Output: (grp, shard, batch).
+    Groups are hashed to shards, by default as many as keep a shard near ``SHARD_GROUPS`` groups,
+    so a shard's group sizes stay bounded however many groups there are.  Inside a shard groups are
+    packed in hash order, closing a batch when the next group would overflow; a group above
+    ``batch_rows`` is a batch of its own.  Each group points to the one that would open the next
+    batch if it opened one itself; the groups that do are those the first one reaches, found by
+    doubling the pointers.  Output: (grp, shard, batch, rows).  A null key is a group.
     """
-    import pandas as pd
-
-    from ranklift.session import shuffle_partitions
-    shards = shards or 4 * shuffle_partitions(df.sparkSession)  # group-size rows per shard stay small
-    sizes = (df.groupBy(grp).agg(F.count(F.lit(1)).alias("rows"))
-             .withColumns({"_h": hash_bigint(grp, seed)})
-             .withColumn("shard", (F.col("_h") % shards).cast("int")))
-
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_h", grp])
-        batch, fill, out = 0, 0, []
-        for r in pdf["rows"].to_numpy():
-            if fill and fill + r > batch_rows:
-                batch, fill = batch + 1, 0
-            out.append(batch)
-            fill += r
-        return pd.DataFrame({grp: pdf[grp].to_numpy(), "shard": pdf["shard"].to_numpy(),
-                             "batch": out, "rows": pdf["rows"].to_numpy()})
-
-    schema = f"{grp} string, shard int, batch long, rows long"
-    return sizes.groupBy("shard").applyInPandas(pack, schema)
+    if batch_rows < 1:
+        raise ValueError("batch_rows must be at least 1")
+    sizes = df.groupBy(grp).agg(F.count(F.lit(1)).alias("rows")).withColumn("_h", hash_bigint(grp, seed))
+    n_shards = F.lit(shards) if shards else F.greatest(F.lit(1), F.ceil(
+        df.select(F.count_distinct(grp)).scalar() / SHARD_GROUPS))
+    sizes = sizes.withColumn("shard", F.coalesce(F.col("_h") % n_shards, F.lit(0)).cast("int"))
+    by_hash = Window.partitionBy("shard").orderBy("_h", grp)
+    start = F.sum("rows").over(by_hash.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("rows")
+    placed = written(sizes.withColumns({"pos": F.row_number().over(by_hash), "start": start})
+                     .select(grp, "shard", "rows", "pos", "start"), "pack")
+
+    reach = Window.partitionBy("shard").orderBy("start").rangeBetween(Window.unboundedPreceding, batch_rows)
+    ends = placed.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.sum("rows").alias("total"))
+    to = F.greatest(F.col("pos") + 1, F.col("_m"))  # the last group within reach need not fit
+    fits = (F.col("_m") == F.col("n")) & (F.col("total") <= F.col("start") + batch_rows)
+    links = placed.select("shard", "pos", "start", F.count(F.lit(1)).over(reach).alias("_m")).join(ends, "shard")
+    links = written(links.where(~fits).select("shard", F.col("pos").cast("long").alias("pos"), to.alias("to"))
+                    .where(F.col("to") <= F.col("n")), "pack")
+    opens = placed.where("pos = 1").select("shard", F.col("pos").cast("long").alias("pos"))
+    while links.limit(1).count():  # log2 of the largest number of batches in a shard
+        opens = written(opens.union(opens.join(links, ["shard", "pos"]).select("shard", F.col("to").alias("pos"))), "pack")
+        onward = links.select("shard", F.col("pos").alias("to"), F.col("to").alias("far"))
+        links = written(links.join(onward, ["shard", "to"]).select("shard", "pos", F.col("far").alias("to")), "pack")
+    flagged = placed.join(opens.withColumn("_open", F.lit(1)), ["shard", "pos"], "left")
+    upto = Window.partitionBy("shard").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return flagged.select(grp, "shard", (F.sum(F.coalesce("_open", F.lit(0))).over(upto) - 1).alias("batch"), "rows")

@@ -148,6 +148,19 @@ def q_epoch_batches(spark, sf_dir):
                                   F.sum(F.col("bought").cast("int")).cast("bigint").alias("positives"))
 
 
-@register("pack_groups")
+@register("pack_groups", with_sql(f"""
+, z AS (SELECT query_id, count(*) AS rows, {H('query_id', 42)} AS h FROM impressions GROUP BY 1)
+, c AS (SELECT greatest(1, CAST(ceil(count(DISTINCT query_id) / {S.SHARD_GROUPS}) AS BIGINT)) AS shards FROM impressions)
+, o AS (SELECT query_id, rows, CAST(coalesce(h % shards, 0) AS INTEGER) AS shard,
+               row_number() OVER (PARTITION BY coalesce(h % shards, 0) ORDER BY h, query_id) AS pos FROM z, c)
+, t AS (SELECT shard, pos, sum(rows) OVER (PARTITION BY shard ORDER BY pos) AS used, rows FROM o)
+, near AS (SELECT shard, pos, used - rows + 64 AS room, unnest(range(pos + 1, pos + 66)) AS other FROM t)
+, link AS (SELECT n.shard, n.pos, min(n.other) AS nxt FROM near n JOIN t ON t.shard = n.shard AND t.pos = n.other
+           WHERE t.used > n.room GROUP BY 1, 2)
+, opens AS (WITH RECURSIVE walk(shard, pos) AS (
+    SELECT DISTINCT shard, CAST(1 AS BIGINT) FROM o
+    UNION ALL SELECT l.shard, l.nxt FROM walk p JOIN link l ON l.shard = p.shard AND l.pos = p.pos) SELECT * FROM walk)
+SELECT query_id, o.shard, CAST(count(p.pos) OVER (PARTITION BY o.shard ORDER BY o.pos) - 1 AS BIGINT) AS batch, rows
+FROM o LEFT JOIN opens p ON p.shard = o.shard AND p.pos = o.pos""", "impressions"))
 def q_pack_groups(spark, sf_dir):
-    return S.pack_groups(impressions(spark, sf_dir), "query_id", 64, shards=16)
+    return S.pack_groups(impressions(spark, sf_dir), "query_id", 64)

@@ -1,8 +1,11 @@
 """Split properties: disjoint groups, cover, determinism, balance, corruption detection."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
+from ranklift.functions.scalars import hash_bigint
 from ranklift.operators import splits as S
 from ranklift.sources import io
 from ranklift.sources.fixtures import impressions
@@ -71,3 +74,25 @@ def test_pack_groups_never_splits_a_group(spark, built):
     assert packed.groupBy("query_id").count().agg(F.max("count")).first()[0] == 1
     over = packed.groupBy("shard", "batch").agg(F.sum("rows").alias("r"), F.count("*").alias("g"))
     assert over.where("r > 20 AND g > 1").count() == 0
+
+
+@pytest.mark.parametrize("batch_rows, shards", [(1, 1), (7, 1), (20, 3), (1000, 2), (5, None)])
+def test_pack_groups_equals_the_greedy_loop(spark, batch_rows, shards):
+    rng = random.Random(batch_rows)
+    sizes = {f"g{i}": rng.choice((1, 1, 2, 3, 5, 8, 13)) for i in range(120)}
+    sizes["hot"] = 200
+    sizes[None] = 4
+    rows = [(g,) for g, n in sizes.items() for _ in range(n)]
+    df = spark.createDataFrame(rows, "k string").repartition(4)
+    h = {r.k: r.h for r in df.select("k", hash_bigint("k", 42).alias("h")).distinct().collect()}
+    want = set()
+    for shard in range(shards or 1):
+        batch, used = 0, 0
+        own = [g for g in sizes if (h[g] or 0) % (shards or 1) == shard]
+        for g in sorted(own, key=lambda g: (h[g] is not None, h[g] or 0, g or "")):
+            if used and used + sizes[g] > batch_rows:
+                batch, used = batch + 1, 0
+            used += sizes[g]
+            want.add((g, shard, batch, sizes[g]))
+    assert {tuple(r) for r in S.pack_groups(df, "k", batch_rows, shards).collect()} == want
+    assert S.pack_groups(df.limit(0), "k", batch_rows, shards).count() == 0
