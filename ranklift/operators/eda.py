@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ranklift.operators.ordering import quantiles, quantiles_by
@@ -203,6 +203,21 @@ def noise_ratio(df: DataFrame, key: Column, target: str = "bought", name: str =
         (F.col("sd_observed") / F.sqrt(p * (1 - p) / F.col("mean_n"))).alias("ratio"))
 
 
+def noise_ratios(df: DataFrame, keys: dict[str, Column], target: str = "bought") -> DataFrame:
+    """``noise_ratio`` for several keys from one scan: one row per name in ``keys``.
+
+    Rows collapse to one per (name, key value) before they are shuffled.
+    """
+    pairs = F.array(*[F.struct(F.lit(n).alias("feature"), c.cast("string").alias("key")) for n, c in keys.items()])
+    g = (df.select(_y(target).alias("_y"), F.explode(pairs).alias("_k")).groupBy("_k.feature", "_k.key")
+         .agg(F.avg("_y").alias("rate"), F.sum("_y").alias("pos"), F.count(F.lit(1)).alias("n"),
+              F.count("_y").alias("known")))
+    p = F.sum("pos") / F.sum("known")
+    chance = F.sqrt(p * (1 - p) / F.avg("n"))
+    return g.groupBy("feature").agg(F.stddev_samp("rate").alias("sd_observed"), chance.alias("sd_chance"),
+                                    F.try_divide(F.stddev_samp("rate"), chance).alias("ratio"))
+
+
 def rate_intervals(df: DataFrame, key: Column, target: str = "bought", name: str = "key") -> DataFrame:
     p = df.select(F.avg(_y(target))).scalar()
     g = df.groupBy(key.alias(name)).agg(F.avg(_y(target)).alias("rate"), F.count(F.lit(1)).alias("n"))
@@ -234,3 +249,13 @@ def contingency(df: DataFrame, a: str, b: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.grouping("a").alias("ga"), F.grouping("b").alias("gb"))
     return c.select(F.when(F.col("ga") == 1, F.lit("total")).otherwise(F.col("a")).alias(a),
                     F.when(F.col("gb") == 1, F.lit("total")).otherwise(F.col("b")).alias(b), "n")
+
+
+def contingency_shares(df: DataFrame, a: str, b: str) -> DataFrame:
+    """``contingency`` with ``share``: the cell's part of its row total, P(b | a); 1 in the margin of b."""
+    c = df.select(F.col(a).cast("string").alias("a"), F.col(b).cast("string").alias("b")).cube("a", "b").agg(
+        F.count(F.lit(1)).alias("n"), F.grouping("a").alias("ga"), F.grouping("b").alias("gb"))
+    of_row = F.max(F.when(F.col("gb") == 1, F.col("n"))).over(Window.partitionBy("ga", "a"))  # levels of b + 1 rows
+    return c.withColumn("share", F.col("n") / of_row).select(
+        F.when(F.col("ga") == 1, F.lit("total")).otherwise(F.col("a")).alias(a),
+        F.when(F.col("gb") == 1, F.lit("total")).otherwise(F.col("b")).alias(b), "n", "share")

@@ -161,6 +161,15 @@ def q_decile_rates(spark, sf_dir):
     return _round_cols(d.withColumn("bin", F.col("bin").cast("int")), ["rate"])
 
 
+@register("decile_contrast", with_sql(f"""
+, e AS (SELECT list_sort(list_distinct(quantile_cont(price, [0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9]))) AS edges FROM impressions)
+, d AS (SELECT len(list_filter(edges, lambda x: x < price)) AS bin, avg(CAST(bought AS DOUBLE)) AS rate FROM impressions, e GROUP BY 1)
+SELECT {R('min_by(rate, bin)')} AS first_rate, {R('max_by(rate, bin)')} AS last_rate,
+       {R('max(rate) - min(rate)')} AS spread FROM d""", "impressions"))
+def q_decile_contrast(spark, sf_dir):
+    return _round_cols(eda.decile_contrast(impressions(spark, sf_dir), "price", "bought"), ["first_rate", "last_rate", "spread"])
+
+
 # F10 -------------------------------------------------------------------------
 @register("crosstab_category_storage", with_sql("""
 SELECT category, count(*) FILTER (WHERE storage_type = 'F') AS "F", count(*) FILTER (WHERE storage_type = 'O') AS "O"
@@ -215,6 +224,23 @@ def q_noise_ratio(spark, sf_dir):
     return _round_cols(n, ["sd_observed", "sd_chance", "ratio"])
 
 
+@register("noise_ratio_tier", with_sql(f"""
+, t AS (SELECT *, CAST(bought AS DOUBLE) AS y FROM impressions WHERE {TIER_SQL} = 'ALTO')
+, k AS (SELECT 'hour' AS feature, hour("timestamp") AS key, y FROM t
+        UNION ALL SELECT 'weekday', isodow("timestamp") - 1, y FROM t
+        UNION ALL SELECT 'month', month("timestamp"), y FROM t)
+, g AS (SELECT feature, key, avg(y) AS rate, count(*) AS n FROM k GROUP BY 1, 2)
+, p AS (SELECT avg(y) AS p FROM t)
+SELECT feature, {R('stddev_samp(rate)')} AS sd_observed, {R('sqrt(min(p) * (1 - min(p)) / avg(n))')} AS sd_chance,
+       {R('stddev_samp(rate) / sqrt(min(p) * (1 - min(p)) / avg(n))')} AS ratio
+FROM g, p GROUP BY feature""", "impressions"))
+def q_noise_ratio_tier(spark, sf_dir):
+    """F16: hour, weekday and month against chance, inside the high tier."""
+    df = impressions_derived(spark, sf_dir).where("tier = 'ALTO'")
+    n = eda.noise_ratios(df, {"hour": F.hour("timestamp"), "weekday": F.weekday("timestamp"), "month": F.month("timestamp")})
+    return _round_cols(n, ["sd_observed", "sd_chance", "ratio"])
+
+
 # F17 -------------------------------------------------------------------------
 @register("rate_intervals_month", with_sql(f"""
 , p AS (SELECT avg(CAST(bought AS DOUBLE)) AS p FROM impressions)
@@ -258,3 +284,26 @@ SELECT COALESCE(CAST(cart AS VARCHAR), 'total') AS cart, COALESCE(CAST(bought AS
 FROM impressions GROUP BY CUBE (cart, bought)""", "impressions"))
 def q_contingency(spark, sf_dir):
     return eda.contingency(impressions(spark, sf_dir), "cart", "bought")
+
+
+@register("contingency_shares_cart_bought", with_sql(f"""
+, c AS (SELECT CAST(cart AS VARCHAR) AS cart, CAST(bought AS VARCHAR) AS bought, count(*) AS n FROM impressions GROUP BY CUBE (1, 2))
+SELECT COALESCE(c.cart, 'total') AS cart, COALESCE(c.bought, 'total') AS bought, c.n, {R('c.n / r.n')} AS share
+FROM c JOIN c r ON r.bought IS NULL AND r.cart IS NOT DISTINCT FROM c.cart""", "impressions"))
+def q_contingency_shares(spark, sf_dir):
+    """The crosstab with P(bought | cart)."""
+    return _round_cols(eda.contingency_shares(impressions(spark, sf_dir), "cart", "bought"), ["share"])
+
+
+# C16 -------------------------------------------------------------------------
+@register("derived_tiers", with_sql(f"""
+, r AS (SELECT {MARKER_SQL} AS marker, avg(CAST(bought AS DOUBLE)) AS rate FROM impressions GROUP BY 1)
+, t AS (SELECT row_id, bought, CASE WHEN rate > 0.4 THEN 'ALTO' WHEN rate > 0.005 THEN 'MEDIO' ELSE 'CERO' END AS tier
+        FROM impressions JOIN r ON r.marker = {MARKER_SQL})
+SELECT tier, count(*) AS rows, CAST(sum(CAST(bought AS INTEGER)) AS BIGINT) AS positives,
+       min(row_id) AS first_row, max(row_id) AS last_row FROM t GROUP BY tier""", "impressions"))
+def q_derived_tiers(spark, sf_dir):
+    """Tiers cut from the markers' own rates, joined back to every row."""
+    df = derive.derive_tiers(derive.add_derived(impressions(spark, sf_dir)), "marker", "bought")
+    return df.groupBy("tier").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("bought").cast("int")).cast("bigint").alias("positives"),
+                                  F.min("row_id").alias("first_row"), F.max("row_id").alias("last_row"))
