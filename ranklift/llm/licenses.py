@@ -5,7 +5,7 @@ windows of ``WINDOW`` words, one every ``STEP``, across its line ends, so wrappi
 changes nothing and a notice of one line inside a paragraph of prose still has a window of its
 own size.  Features are hashed word 1- and 2-grams (presence); a sparse multinomial logistic
 regression tells licence families, ``unknown`` (licence-like, no family's wording) and ``none``
-apart.  A window without one of the ``ANCHORS`` is ``none`` by definition and is not scored.
+apart.  Every window of every paragraph is scored, whatever words it holds.
 
 Learning rows are pieces of the templates (whole, with missing words, alone and inside prose),
 shuffled templates and other licences for ``unknown``, and for ``none`` at most
@@ -128,7 +128,7 @@ PLAIN = (
     "students at mit built a small robot in one week",
     "he studied the rights and duties of citizens in the old town",
 )
-#: One of these words is in every window that is scored.
+#: Words that notices often hold; learning puts them into prose too.
 ANCHORS = (
     "agpl", "apache", "bsd", "cc", "cc0", "commons", "copies", "copy", "copyright", "copyrights", "distributed", "domain",
     "gnu", "gpl", "isc", "lgpl", "licence", "licenced", "licences", "license", "licensed", "licenses", "mit", "mozilla", "mpl",
@@ -313,7 +313,7 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_windows: int = S
 
 def scan(docs: DataFrame, scanner: Scanner) -> DataFrame:
     """(doc_id, para_no, first_line, last_line, passage, family, probability, template_score, confirmed, held)."""
-    windows = with_grams(windows_of(paragraphs_of(docs)))
+    windows = with_grams(windows_of(paragraphs_of(docs), anchored=False))
     scored = scanner.model.transform(windows).withColumn("p", _softmax(vector_to_array("rawPrediction"), scanner.temperature))
     like = scored.filter(F.element_at("p", -1) < F.array_max("p")).select(
         "row_no", "doc_id", "para_no", "k", "words", "first_line", "last_line", _known(F.col("p")).alias("known"),

@@ -139,3 +139,10 @@ def test_edge_cases(spark, scanner):
     none = docs.filter("doc_id = 99")
     assert L.scan(none, scanner).count() == 0
     assert L.scan(docs.filter("doc_id = 5"), L.fit(none)).count() == 2
+
+
+def test_wordings_without_any_anchor_are_scored(spark, scanner):
+    text = ("Anyone is free to modify, publish, use, compile or sell this, either in source code form or as a compiled binary, "
+            "for any purpose, commercial or non-commercial, and by any means.")
+    assert not set(L._words(text)) & set(L.ANCHORS)
+    assert [r.family for r in found(scanner, spark, [text])] == ["unlicense"]
