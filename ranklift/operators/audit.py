@@ -11,6 +11,9 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ranklift.operators.features import maybe_broadcast
+from ranklift.session import written
+
 ADMITTED, EXCLUDED, TARGET, GROUP = "ADMITIDA", "EXCLUIDA", "TARGET", "GRUPO"
 TEXT, NUMERIC, CATEGORICAL, DERIVED, NONE = "texto", "numerica", "categorica", "derivada", "-"
 BEFORE = "before the search (catalogue attribute)"
@@ -115,10 +118,19 @@ def column_profile(df: DataFrame, approx: bool = False) -> DataFrame:
 
 
 def duplicate_count(df: DataFrame, subset: list[str] | None = None) -> Column:
-    """B6 helper: rows minus distinct keys (nulls compare equal) as a scalar column."""
+    """B6 helper: rows minus distinct keys (nulls compare equal) as a scalar column.
+
+    Only a 64-bit hash of each row is shuffled; rows whose hash comes twice are then compared
+    by all columns, so that equal hashes of different rows do not count.
+    """
+    if df.isEmpty():
+        return F.lit(None).cast("bigint")
     cols = subset or df.columns
-    g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
-    return g.select(F.sum(F.col("_c") - 1).cast("bigint")).scalar()
+    kinds = dict(df.dtypes)
+    d = df.select(*cols, F.xxhash64(*[F.col(c) + F.lit(0.0) if kinds[c] == "double" else F.col(c) for c in cols]).alias("_h"))
+    twice = written(d.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_h"), "twice")
+    g = d.join(maybe_broadcast(twice), "_h", "left_semi").groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
+    return g.select(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).cast("bigint")).scalar()
 
 
 def structural_facts(df: DataFrame, grp: str = "query_id", target: str = "bought", leak: str = "cart",

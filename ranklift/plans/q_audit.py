@@ -11,6 +11,7 @@ from ranklift.plans.catalog import register
 from ranklift.plans.q_eda import impressions_derived
 from ranklift.plans.q_features import _dim
 from ranklift.plans.sqlutil import R
+from ranklift.session import written
 from ranklift.sources.fixtures import IMPRESSION_COLUMNS, impressions, with_sql
 
 REG_SQL = "reg(column_name, verdict, role) AS (VALUES " + ", ".join(
@@ -50,7 +51,7 @@ SELECT fact, {R('value')} AS value FROM (
   UNION ALL SELECT 'exact_duplicates', CAST(sum(c - 1) AS DOUBLE) FROM c
   UNION ALL SELECT 'duplicates_group_title', CAST(sum(c - 1) AS DOUBLE) FROM d)""", "impressions"))
 def q_structural_facts(spark, sf_dir):
-    df = impressions(spark, sf_dir).select(*IMPRESSION_COLUMNS)
+    df = written(impressions(spark, sf_dir).select(*IMPRESSION_COLUMNS))  # read four times
     return A.structural_facts(df).withColumn("value", rnd("value"))
 
 
@@ -138,6 +139,6 @@ SELECT e.fact, CAST(expected AS DOUBLE) AS expected, {R('value')} AS measured, {
 FROM e JOIN m ON e.fact = m.fact""", "impressions"))
 def q_verify_facts(spark, sf_dir):
     """B5 + B7: measured facts against the stated ones (counts exact, proportions 5e-4, _pct 5e-3)."""
-    facts = A.structural_facts(impressions(spark, sf_dir).select(*IMPRESSION_COLUMNS))
+    facts = A.structural_facts(written(impressions(spark, sf_dir).select(*IMPRESSION_COLUMNS)))
     v = A.verify_facts(facts, EXPECTED_FACTS)
     return v.withColumns({"measured": rnd("measured"), "delta": rnd("delta")})
