@@ -58,9 +58,11 @@ def checked_y() -> Column:
 
 def score_counts(pred: DataFrame, by: list[str] | None = None) -> DataFrame:
     by = by or []
-    pred = pred.withColumns({"p": checked_p(), "y": checked_y()})
+    # p is checked inside the sums: a check in the key would go down with filters on the key, below the joins
+    # that made ``pred``, and meet rows that are none of it
+    pred = pred.withColumns({"p": F.col("p").cast("double"), "y": checked_y(), "_ok": checked_p() * 0.0 + 1.0})
     y = F.col("y")
-    w = F.col("w").cast("double") if "w" in pred.columns else F.lit(1.0)
+    w = F.col("_ok") * (F.col("w").cast("double") if "w" in pred.columns else F.lit(1.0))
     return pred.groupBy(*by, "p").agg(F.sum(y * w).alias("pos"), F.sum((1 - y) * w).alias("neg"))
 
 
