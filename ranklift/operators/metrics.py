@@ -16,6 +16,9 @@ from ranklift.operators.ordering import dense_index, prefix_sums, prefix_sums_by
 
 EPS = 2.220446049250313e-16  # float64 machine epsilon: log-loss clipping
 CONSTANT_RANGE = 1e-12       # scores spanning less than this are "constant"
+GROUP_BUCKETS = 1 << 12      # hash buckets in which the rows of groups are counted
+TASK_ROWS = 1 << 21          # rows of whole groups that one task ranks
+WHOLE_ROWS = 1 << 20         # a group of more rows is not ranked in one task
 
 
 class PredictionError(ValueError):
@@ -154,15 +157,33 @@ def global_top_k(pred: DataFrame, ks=(1, 2, 3)) -> DataFrame:
 
 # V12 -------------------------------------------------------------------------
 def map_by_group(pred: DataFrame) -> DataFrame:
-    """AP inside each group with positives (all-positive group = 1), averaged."""
-    sc = score_counts(pred, ["grp"]).withColumn("_neg_p", -F.col("p"))
-    cum = prefix_sums_by(sc, ["grp"], "_neg_p", ["pos", "neg"], n_buckets=16)
-    ap = cum.groupBy("grp").agg(F.sum("pos").alias("P"),
-                                F.sum(F.col("pos") * F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("s"))
+    """AP inside each group with positives (all-positive group = 1), averaged; rows without a group are left out.
+
+    Groups are ranked whole, in one shuffle by group whose partitions hold about ``TASK_ROWS`` rows: a task's memory
+    does not grow with the table.  Groups whose hash bucket has more than ``WHOLE_ROWS`` rows are ranked by value ranges.
+    """
+    bucket = F.pmod(F.xxhash64("grp"), F.lit(GROUP_BUCKETS))
+    pred = pred.where(F.col("grp").isNotNull())
+    sizes = {r["b"]: r["n"] for r in pred.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    parts = max(pred.sparkSession.sparkContext.defaultParallelism, -(-sum(sizes.values()) // TASK_ROWS))
+    large = [b for b, n in sizes.items() if n > WHOLE_ROWS]  # at most one for each WHOLE_ROWS rows
+
+    whole = pred.where(~bucket.isin(large)) if large else pred
+    upto = Window.partitionBy("grp").orderBy(F.desc("p")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = score_counts(whole.select("grp", "p", "y", *[c for c in pred.columns if c == "w"]).repartition(parts, "grp"), ["grp"])
+    ap = _group_ap(cum.withColumns({f"cum_{c}": F.sum(c).over(upto) for c in ("pos", "neg")}))
+    if large:
+        sc = score_counts(pred.where(bucket.isin(large)), ["grp"]).withColumn("_neg_p", -F.col("p"))
+        ap = ap.unionByName(_group_ap(prefix_sums_by(sc, ["grp"], "_neg_p", ["pos", "neg"], n_buckets=16)))
     return ap.where(F.col("P") > 0).agg(F.avg(F.col("s") / F.col("P")).alias("map"),
                                         F.count(F.lit(1)).alias("groups"))
 
 
+def _group_ap(cum: DataFrame) -> DataFrame:
+    return cum.groupBy("grp").agg(F.sum("pos").alias("P"),
+                                  F.sum(F.col("pos") * F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("s"))
+
+
 # V13 / V14 -------------------------------------------------------------------
 def _curve_base(pred: DataFrame) -> DataFrame:
     return prefix_sums(score_counts(pred), "p", ["pos", "neg"], descending=True)

@@ -98,3 +98,25 @@ def test_curves_end_points(spark):
     assert (roc[0]["fpr"], roc[0]["tpr"]) == (0.0, 0.0) and (roc[-1]["fpr"], roc[-1]["tpr"]) == (1.0, 1.0)
     pr = V.pr_curve(_pred(spark, y, p)).where(F.col("threshold").isNull()).first()
     assert (pr["precision"], pr["recall"]) == (1.0, 0.0)
+
+
+def test_map_ranks_whole_groups_in_one_shuffle_and_large_ones_by_ranges(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    n = 900
+    y, p = rng.integers(0, 2, n), np.round(rng.random(n), 2)
+    grp = ["hot" if i < 300 else f"g{i // 3}" for i in range(n)]
+    pred = _pred(spark, y, p, grp).unionByName(spark.createDataFrame([("x", None, 1, 0.5)], "row_id string, grp string, y int, p double"))
+    by = {}
+    for g, a, b in zip(grp, y, p):
+        by.setdefault(g, []).append((a, b))
+    aps = [_np_auc_ap(*zip(*rows))[1] if 0 < sum(a for a, _ in rows) < len(rows) else 1.0 for rows in by.values() if sum(a for a, _ in rows)]
+    for rows in (10 ** 6, 100):  # all groups whole; "hot" by ranges
+        monkeypatch.setattr(V, "WHOLE_ROWS", rows)
+        m = V.map_by_group(pred)
+        assert m.first()["groups"] == len(aps) and m.first()["map"] == pytest.approx(np.mean(aps), abs=1e-12)
+        plan = m._jdf.queryExecution().executedPlan().toString()
+        assert ("percentile_approx" in plan) == (rows == 100)
+        assert plan.count("Exchange hashpartitioning(grp") == 1 or rows == 100
+    monkeypatch.setattr(V, "WHOLE_ROWS", 10 ** 6)
+    monkeypatch.setattr(V, "TASK_ROWS", 10)  # partitions go with the rows
+    assert ", 90), REPARTITION_BY_NUM" in V.map_by_group(pred)._jdf.queryExecution().executedPlan().toString()
