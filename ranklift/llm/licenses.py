@@ -154,12 +154,12 @@ class Scanner:
 
 def words_of(text: Column) -> Column:
     """Lower-case runs of letters and digits, joined by single hyphens or dots inside."""
-    return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+(?:[-.][\p{L}\p{N}]+)*+"), F.lit(0))
+    return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]++(?:[-.][\p{L}\p{N}]++)*+"), F.lit(0))
 
 
 def pairs_of(words: Column) -> Column:
     return F.when(F.size(words) > 1, F.zip_with(F.slice(words, F.lit(1), F.size(words) - 1), F.slice(
-        words, F.lit(2), F.size(words) - 1), lambda a, b: F.concat_ws(" ", a, b))).otherwise(F.array().cast("array<string>"))
+        words, F.lit(2), F.size(words) - 1), lambda a, b: F.concat(a, F.lit(" "), b))).otherwise(F.array().cast("array<string>"))
 
 
 def paragraphs_of(docs: DataFrame) -> DataFrame:
@@ -180,11 +180,19 @@ def _where(flags: Column, keep) -> Column:
     return F.filter(F.sequence(F.lit(0), F.size(flags) - 1), keep)
 
 
-def windows_of(paragraphs: DataFrame, anchored: bool = True) -> DataFrame:
-    """Adds (k, words, first_line, last_line): the paragraph's word windows, those with an anchor or all of them."""
+def _bound(value: Column, body) -> Column:
+    """``let`` without a copy of what ``body`` returns, which here holds every word of a paragraph several times."""
+    return F.aggregate(F.array(F.lit(0)), value, lambda v, _: v, body)
+
+
+def windows_of(paragraphs: DataFrame, anchored: bool = True, grams: bool = False) -> DataFrame:
+    """Adds (k, words, first_line, last_line): the paragraph's word windows, those with an anchor or all of them.
+
+    With ``grams`` it adds what ``with_grams`` does, instead of the words, with which they begin (``words_in``); each
+    word pair of a paragraph is then put together once, not once a window.
+    """
     def cut(lines):
-        per_line = F.transform(lines, words_of)
-        return let(per_line, lambda pl: F.struct(F.flatten(pl).alias("w"), F.flatten(F.transform(
+        return _bound(F.transform(lines, words_of), lambda pl: F.struct(F.flatten(pl).alias("w"), F.flatten(F.transform(
             pl, lambda x, i: F.array_repeat(i, F.size(x)))).alias("at")))
 
     def starts(w):
@@ -196,18 +204,30 @@ def windows_of(paragraphs: DataFrame, anchored: bool = True) -> DataFrame:
         near = F.flatten(F.transform(spots, lambda i: F.array(F.greatest(i - 1, F.lit(0)), F.least(i, last))))
         return F.array_sort(F.array_distinct(near))
 
+    def parts(s, pairs=None):
+        def part(k):
+            own = F.slice(s["w"], k * STEP + 1, WINDOW)
+            held = own.alias("words") if pairs is None else F.concat(own, F.slice(pairs, k * STEP + 1, WINDOW - 1)).alias("grams")
+            return F.struct(k.alias("k"), held, F.get(s["at"], k * STEP).alias("a"),
+                            F.get(s["at"], F.least(k * STEP + WINDOW, F.size(s["at"])) - 1).alias("b"))
+        return F.transform(starts(s["w"]), part)
+
     rows = paragraphs
     if anchored:  # cheap test before words are cut; every anchored window passes it
         rows = rows.filter(F.exists("lines", lambda x: x.rlike("(?iu)" + "|".join(sorted({a[:5] for a in ANCHORS})))))
     keys = [c for c in rows.columns if c not in ("first_line", "lines")]
-    made = let(F.col("lines"), lambda lines: let(cut(lines), lambda s: F.transform(starts(s["w"]), lambda k: F.struct(
-        k.alias("k"), F.slice(s["w"], k * STEP + 1, WINDOW).alias("words"), F.get(s["at"], k * STEP).alias("a"),
-        F.get(s["at"], F.least(k * STEP + WINDOW, F.size(s["at"])) - 1).alias("b")))))
-    out = rows.select(*keys, "first_line", F.explode(made).alias("s")).filter(F.size("s.words") > 0)
-    return out.select(*keys, "s.k", "s.words", (F.col("first_line") + F.col("s.a")).alias("first_line"),
+    made = _bound(cut(F.col("lines")), lambda s: _bound(pairs_of(s["w"]), lambda p: parts(s, p)) if grams else parts(s))
+    held = "s.grams" if grams else "s.words"
+    out = rows.select(*keys, "first_line", F.explode(made).alias("s")).filter(F.size(held) > 0)
+    return out.select(*keys, "s.k", held, (F.col("first_line") + F.col("s.a")).alias("first_line"),
                       (F.col("first_line") + F.col("s.b")).alias("last_line"))
 
 
+def words_in(grams: Column) -> Column:
+    """The words that ``grams`` begin with: n of them before n - 1 pairs."""
+    return F.slice(grams, F.lit(1), ((F.size(grams) + 1) / 2).cast("int"))
+
+
 def with_grams(windows: DataFrame) -> DataFrame:
     return windows.withColumn("grams", F.concat("words", pairs_of(F.col("words"))))
 
@@ -313,11 +333,16 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_windows: int = S
 
 def scan(docs: DataFrame, scanner: Scanner) -> DataFrame:
     """(doc_id, para_no, first_line, last_line, passage, family, probability, template_score, confirmed, held)."""
-    windows = with_grams(windows_of(paragraphs_of(docs), anchored=False))
-    scored = scanner.model.transform(windows).withColumn("p", _softmax(vector_to_array("rawPrediction"), scanner.temperature))
+    windows = windows_of(paragraphs_of(docs), anchored=False, grams=True)
+    keys = ("row_no", "doc_id", "para_no", "k", "grams", "first_line", "last_line")
+    # a filter on the scores would score each window again for every use of them; a generator scores it once.
+    # Probabilities keep the order of the raw scores, so no window is lost before they are calibrated.
+    beaten = F.filter(F.array(vector_to_array("rawPrediction")), lambda r: F.element_at(r, -1) < F.array_max(r))
+    raw = scanner.model.transform(windows).select(*keys, F.explode(beaten).alias("raw"))
+    scored = raw.withColumn("p", _softmax(F.col("raw"), scanner.temperature))
     like = scored.filter(F.element_at("p", -1) < F.array_max("p")).select(
-        "row_no", "doc_id", "para_no", "k", "words", "first_line", "last_line", _known(F.col("p")).alias("known"),
-        F.element_at("p", len(CLASSES) - 1).alias("other"))
+        "row_no", "doc_id", "para_no", "k", words_in(F.col("grams")).alias("words"), "first_line", "last_line",
+        _known(F.col("p")).alias("known"), F.element_at("p", len(CLASSES) - 1).alias("other"))
     order = Window.partitionBy("row_no", "para_no").orderBy("k")  # one paragraph's licence-like windows
     apart = (F.col("k") - F.lag("k", 1, -9).over(order) > 1).cast("int")
     like = like.withColumn("apart", apart).withColumn("run", F.sum("apart").over(order))

@@ -146,3 +146,16 @@ def test_wordings_without_any_anchor_are_scored(spark, scanner):
             "for any purpose, commercial or non-commercial, and by any means.")
     assert not set(L._words(text)) & set(L.ANCHORS)
     assert [r.family for r in found(scanner, spark, [text])] == ["unlicense"]
+
+
+def test_every_window_is_scored_once(spark, scanner):
+    rng = random.Random(8)
+    docs = spark.createDataFrame([(i, "\n".join(prose(rng, rng.choice((0, 1, 2, 24, 25, 48, 49, 97))) for _ in range(6))) for i in range(30)],
+                                 "doc_id long, text string")
+    paras = L.paragraphs_of(docs)
+    cols = ["doc_id", "para_no", "k", "grams", L.words_in(F.col("grams")).alias("words"), "first_line", "last_line"]
+    want = L.with_grams(L.windows_of(paras, anchored=False)).select(*[c if isinstance(c, str) else "words" for c in cols])
+    got = L.windows_of(paras, anchored=False, grams=True).select(*cols)
+    assert got.count() == want.count() > 60 and got.exceptAll(want).isEmpty()
+    plan = L.scan(docs, scanner)._jdf.queryExecution().executedPlan().toString().split("\n")
+    assert any("UDF(" in x for x in plan) and not any("UDF(" in x for x in plan if "Filter " in x.split("[")[0].split("(is")[0][:40])
