@@ -179,9 +179,12 @@ def factorize(df: DataFrame, col: str, out: str = "code") -> DataFrame:
     return dense_index(df.select(col).distinct(), [col], out=out)
 
 
-def epoch_order(df: DataFrame, key: str = "row_id", seed: int = 42, epoch: int = 0, out: str = "pos") -> DataFrame:
+def epoch_order(df: DataFrame, key: str = "row_id", seed: int = 42, epoch: int = 0, out: str = "pos",
+                keep: list[str] | None = None) -> DataFrame:
+    """Rows of ``df`` with their place in an epoch; only the columns ``keep`` (None: all) go with them."""
     h = hash_bigint(key, f"{seed}-{epoch}")
-    return dense_index(df.withColumn("_h", h), ["_h", key], out=out).drop("_h")
+    keep = list(df.columns if keep is None else keep)
+    return dense_index(df.select(*{key: 0, **dict.fromkeys(keep)}).withColumn("_h", h), ["_h", key], out=out, keep=keep)
 
 
 def batch_assign(ordered: DataFrame, size: int, drop_last: bool = False, pos: str = "pos") -> DataFrame:

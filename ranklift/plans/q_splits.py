@@ -151,7 +151,7 @@ def q_factorize(spark, sf_dir):
 SELECT CAST(floor(pos / 512) AS BIGINT) AS batch, count(*) AS rows, CAST(sum(CAST(bought AS INTEGER)) AS BIGINT) AS positives
 FROM o WHERE floor(pos / 512) < floor((SELECT count(*) FROM impressions) / 512) GROUP BY 1""", "impressions"))
 def q_epoch_batches(spark, sf_dir):
-    o = S.epoch_order(impressions(spark, sf_dir), "row_id", 42, epoch=1)
+    o = S.epoch_order(impressions(spark, sf_dir), "row_id", 42, epoch=1, keep=["bought"])
     b = S.batch_assign(o, 512, drop_last=True)
     return b.groupBy("batch").agg(F.count(F.lit(1)).alias("rows"),
                                   F.sum(F.col("bought").cast("int")).cast("bigint").alias("positives"))
