@@ -10,6 +10,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -159,6 +162,36 @@ def normal_quantile(u: F.Column) -> F.Column:
     return _let(u, lambda v: F.when(v.isNotNull(), _let(F.least(F.greatest(v, F.lit(NORMAL_CLIP)), F.lit(1 - NORMAL_CLIP)), at)))
 
 
+def quantile_normal(x: F.Column, quantiles: np.ndarray) -> F.Column:
+    """``normal_quantile(quantile_rank(x, quantiles))`` by Arrow batch: two binary searches and the same formulas over arrays."""
+    n = len(quantiles)
+
+    def rank(v):
+        upto, below = np.searchsorted(quantiles, v, "right") - 1, np.searchsorted(quantiles, v, "left") - 1
+        left, right = quantiles[np.maximum(upto, 0)], quantiles[np.minimum(upto + 1, n - 1)]
+        between = upto + (v - left) / np.where(right > left, right - left, 1.0)
+        at = np.where(left == v, (upto + below + 1) / 2.0, np.where(upto == n - 1, float(n - 1), between))
+        return np.where(upto < 0, 0.0, at / float(max(n - 1, 1)))
+
+    def poly(c, t):
+        out = c[0]
+        for k in c[1:]:
+            out = out * t + k
+        return out
+
+    @F.arrow_udf("double")
+    def scaled(values: pa.Array) -> pa.Array:
+        null = pc.is_null(values).to_numpy(zero_copy_only=False)
+        v = pc.fill_null(values, 0.0).to_numpy(zero_copy_only=False)
+        p = np.minimum(np.maximum(rank(v), NORMAL_CLIP), 1 - NORMAL_CLIP)
+        low, high, r = p < NORMAL_TAIL, p > 1 - NORMAL_TAIL, (p - 0.5) * (p - 0.5)
+        t = np.sqrt(-2.0 * np.log(np.where(high, 1.0 - p, p)))
+        tail, middle = poly(NORMAL_C, t) / poly(NORMAL_D, t), (p - 0.5) * poly(NORMAL_A, r) / poly(NORMAL_B, r)
+        return pa.array(np.where(low, tail, np.where(high, -tail, middle)), mask=null)
+
+    return scaled(x)
+
+
 class FeatureEstimator:
     def __init__(self, cfg: FeatureConfig | None = None):
         self.cfg = cfg or FeatureConfig()
@@ -241,10 +274,8 @@ class FeatureModel:
         return d.withColumns({f"{c}_scaled": (F.col(c).cast("double") - F.lit(m)) / F.lit(s) for c, (m, s) in rows.items()})
 
     def _quantile_scale(self, d: DataFrame) -> DataFrame:
-        import numpy as np
         table = {r["feature"]: np.array(r["quantiles"], dtype=float) for r in self.stats.collect()}  # 1,000 numbers a column
-        return d.withColumns({f"{c}_scaled": normal_quantile(quantile_rank(S.rnd(F.col(c).cast("double"), QUANTILE_DIGITS), q))
-                              for c, q in table.items()})
+        return d.withColumns({f"{c}_scaled": quantile_normal(S.rnd(F.col(c).cast("double"), QUANTILE_DIGITS), q) for c, q in table.items()})
 
     # D5 / D7 ----------------------------------------------------------------
     def layout(self) -> DataFrame:
@@ -262,6 +293,11 @@ class FeatureModel:
         d = self.onehot_model.transform(d)
         num = [f"{c}_scaled" for c in self.cfg.numeric_cols()]
         d = d.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in num})
+        # the entries of features_linear by plain expressions, for solvers that need no MLlib vector
+        at = [len(num) + sum(int(self.levels[x]) for x in cats[:i]) for i in range(len(cats) + 1)]
+        d = d.withColumn("features_sparse", F.struct(
+            F.array(*[F.lit(i) for i in range(len(num))], *[F.lit(k) + F.col(f"{c}_code") for c, k in zip(cats, at)]).alias("indices"),
+            F.array(*[F.col(c) for c in num], *[F.lit(1.0)] * len(cats)).alias("values"))).withMetadata("features_sparse", {"size": at[-1]})
         lin = VectorAssembler(inputCols=num + [f"{c}_oh" for c in cats], outputCol="features_linear").transform(d)
         out = VectorAssembler(inputCols=num + [f"{c}_code" for c in cats], outputCol="features_tree").transform(lin)
         # the kind of a column goes with its role, never with its number of levels; slot 0 is there for unseen values
